@@ -11,6 +11,7 @@ from dieflow.functions.text import (
     clean_param, first_non_empty, is_pixel_test, non_empty, param_source, pixel_of_test, pixel_xy,
 )
 from dieflow.operators.numbering import CHUNK, number_within
+from dieflow.session import materialize
 
 # Output rows one product task should hold.
 CELL_ROWS = 250_000
@@ -131,25 +132,31 @@ def prepare_tests(
     )
 
 
-def grid_join(left: DataFrame, right: DataFrame, on: str, cell_rows: int = CELL_ROWS, right_weight: Column | None = None) -> DataFrame:
-    """All left rows of a key with all right rows of it, spread over tasks by output size.
+def product_grid(left: DataFrame, right: DataFrame, on: str, cell_rows: int = CELL_ROWS, right_weight: Column | None = None) -> DataFrame:
+    """One row per key: into how many stripes its left and right rows are cut.
 
-    The rectangle (left rows x right rows) of each key is tiled into cells of about
-    ``cell_rows``; a row is copied once per cell of its stripe. One key holding most
-    rows of both sides is thereby cut into as many tasks as its output needs, and
-    input copies grow with the square root of the output only. Sizes come from
-    counting ``on`` alone, one row per key.
+    The rectangle (left rows x right rows) of a key is tiled into cells of about
+    ``cell_rows`` output rows: squares where both sides are long, whole rows where one
+    is short.
     """
     weight = F.lit(1.0) if right_weight is None else right_weight.cast("double")
     sizes = (
         left.groupBy(on).agg(F.count("*").cast("double").alias("_l"))
         .join(right.groupBy(on).agg(F.sum(weight).alias("_r"), F.count("*").cast("double").alias("_rn")), on)
     )
-    side = F.sqrt(F.lit(float(cell_rows)))
-    # Stripes per side: squares where both sides are long, whole rows where one is short.
-    stripes_l = F.ceil(F.col("_l") / F.greatest(side, F.lit(float(cell_rows)) / F.col("_r")))
-    stripes_r = F.least(F.ceil(F.col("_r") / F.greatest(side, F.lit(float(cell_rows)) / F.col("_l"))), F.col("_rn"))
-    grid = sizes.select(on, stripes_l.cast("int").alias("_nl"), stripes_r.cast("int").alias("_nr"))
+    area, side = F.lit(float(cell_rows)), F.lit(float(cell_rows) ** 0.5)
+    stripes_l = F.ceil(F.col("_l") / F.greatest(side, area / F.col("_r")))
+    stripes_r = F.least(F.ceil(F.col("_r") / F.greatest(side, area / F.col("_l"))), F.col("_rn"))
+    return sizes.select(on, stripes_l.cast("int").alias("_nl"), stripes_r.cast("int").alias("_nr"))
+
+
+def grid_join(left: DataFrame, right: DataFrame, on: str, grid: DataFrame) -> DataFrame:
+    """All left rows of a key with all right rows of it, spread over tasks by output size.
+
+    A row is copied once per cell of its stripe, so one key holding most rows of both
+    sides is cut into as many tasks as its output needs, while input copies grow only
+    with the square root of the output.
+    """
 
     def stripe(df: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
         return (
@@ -159,26 +166,28 @@ def grid_join(left: DataFrame, right: DataFrame, on: str, cell_rows: int = CELL_
             .drop("_nl", "_nr")
         )
 
-    cells_l = stripe(left, "_nl", "_nr", "_cl", "_cr")
-    cells_r = stripe(right, "_nr", "_nl", "_cr", "_cl")
     keys = [on, "_cl", "_cr"]
     # A fixed partition count: small inputs must not be merged into one task, their product is large.
     n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    joined = cells_l.repartition(n, *keys).hint("shuffle_merge").join(cells_r.repartition(n, *keys), keys)
-    return joined.drop("_cl", "_cr")
+    cells_l = stripe(left, "_nl", "_nr", "_cl", "_cr").repartition(n, *keys)
+    cells_r = stripe(right, "_nr", "_nl", "_cr", "_cl").repartition(n, *keys)
+    return cells_l.hint("shuffle_merge").join(cells_r, keys).drop("_cl", "_cr")
 
 
 def _order_columns(df: DataFrame) -> list[str]:
     return [c for c in ("device_index", "record_index") if c in df.columns] or df.columns
 
 
-def device_test_product(devices: DataFrame, tests: DataFrame, cell_rows: int = CELL_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+def device_test_product(
+    devices: DataFrame, tests: DataFrame, cell_rows: int = CELL_ROWS, keep: tuple[str, ...] = (), grid: DataFrame | None = None
+) -> DataFrame:
     """Every device with every prepared test of its file, one row per value.
 
     Carries (device_index, record_index, value_pos), the arrival order. ``keep``
-    names further columns of either side to carry along.
+    names further columns of either side to carry along; ``grid`` reuses a tiling.
     """
-    joined = grid_join(devices, tests, "path", cell_rows, F.size("values"))
+    grid = product_grid(devices, tests, "path", cell_rows, F.size("values")) if grid is None else grid
+    joined = grid_join(devices, tests, "path", grid)
     rows = joined.select(
         "*", F.posexplode("values").alias("value_pos", "wptm_value"),
     )
@@ -204,22 +213,24 @@ def numbered_product(devices: DataFrame, tests: DataFrame, cell_rows: int = CELL
     meet any other test of their parameter; those parameters are numbered on the
     product.
     """
-    open_params = tests.filter(F.col("pixel_x").isNull() | F.col("pixel_y").isNull()).select("path", "wtp_param_name").distinct()
-    same = ["path", "wtp_param_name"]
-    fixed, loose = tests.join(open_params, same, "left_anti"), tests.join(open_params, same, "left_semi")
-
+    devices, tests = materialize(devices), materialize(tests)
+    grid = product_grid(devices, tests, "path", cell_rows, F.size("values"))
     ranked = number_within(devices, ["path", "wld_device_dmc", "test_flag"], ["device_index"], "_device_rank")
-    group = ["path", "wtp_param_name", "pixel_x", "pixel_y"]
-    n_values = F.size("values")
-    placed = number_within(fixed, group, ["record_index"], "_values_before", weight=n_values)
-    totals = fixed.groupBy(*group).agg(F.sum(n_values).alias("_values_total"))
-    placed = placed.join(totals, group)
+
+    same = ["path", "wtp_param_name"]
+    loose = tests.filter(F.col("pixel_x").isNull() | F.col("pixel_y").isNull())
+    all_placed = loose.isEmpty()
+    if not all_placed:
+        open_params = loose.select(*same).distinct()
+        loose, tests = tests.join(open_params, same, "left_semi"), tests.join(open_params, same, "left_anti")
+
+    group = [*same, "pixel_x", "pixel_y"]
+    placed = number_within(tests, group, ["record_index"], "_values_before", weight=F.size("values"), total="_values_total")
     carried = ("_device_rank", "_values_before", "_values_total", *keep)
-    regular = device_test_product(ranked, placed, cell_rows, carried).withColumn(
+    regular = device_test_product(ranked, placed, keep=carried, grid=grid).withColumn(
         "segment", F.col("_device_rank") * F.col("_values_total") + F.col("_values_before") + F.col("value_pos")
     ).drop("_device_rank", "_values_before", "_values_total")
-    irregular = segment(device_test_product(devices, loose, cell_rows, keep))
-    return regular.unionByName(irregular)
+    return regular if all_placed else regular.unionByName(segment(device_test_product(devices, loose, keep=keep, grid=grid)))
 
 
 SEGMENT_KEY = ["path", "wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "test_flag"]

@@ -22,11 +22,14 @@ def number_within(
     name: str,
     weight: Column | None = None,
     chunks: list[Column] | None = None,
+    total: str | None = None,
 ) -> DataFrame:
     """Add ``name``: rows (or ``weight``) before this one in its key, from 0, in ``order``.
 
     ``order`` is unique within the key and keys are not NULL. ``chunks`` must rise with
     ``order``; the default cuts the first (whole number) order column into ranges.
+    ``total`` also adds the key's sum. Input is read twice: once reduced to a row per
+    chunk, once for the rows themselves.
     """
     if chunks is None:
         chunks = [F.floor(F.col(order[0]) / CHUNK)]
@@ -38,10 +41,14 @@ def number_within(
     local = split.withColumn("_local", F.coalesce(F.sum("_weight").over(before), F.lit(0)))
     earlier = Window.partitionBy(*keys).orderBy(*cuts).rowsBetween(Window.unboundedPreceding, -1)
     starts = split.groupBy(*parts).agg(F.sum("_weight").alias("_size")).withColumn("_start", F.sum("_size").over(earlier))
-    # A key's first chunk starts at 0, so only later chunks are joined.
-    starts = starts.filter(F.col("_start").isNotNull()).drop("_size")
-    joined = local.join(starts, parts, "left")
-    return joined.select(*df.columns, (F.col("_local") + F.coalesce("_start", F.lit(0))).alias(name))
+    if total:
+        starts = starts.withColumn(total, F.sum("_size").over(Window.partitionBy(*keys)))
+    else:
+        # A key's first chunk starts at 0, so only later chunks are joined.
+        starts = starts.filter(F.col("_start").isNotNull())
+    joined = local.join(starts.drop("_size"), parts, "left")
+    added = [total] if total else []
+    return joined.select(*df.columns, (F.col("_local") + F.coalesce("_start", F.lit(0))).alias(name), *added)
 
 
 def number_all(df: DataFrame, order: list[str], name: str, start: int | Column = 0) -> DataFrame:

@@ -9,7 +9,6 @@ from __future__ import annotations
 import bz2
 import gzip
 import hashlib
-import io
 import sys
 import zipfile
 from collections.abc import Iterator
@@ -48,21 +47,24 @@ NOT_FAR = "first record is not FAR"
 TRUNCATED = "record is cut off"
 
 
-def _open(path: str, content: pa.Scalar | None):
-    """Binary stream over a file, unpacked by its suffix."""
-    if content is not None:
-        raw = pa.BufferReader(content)
-    else:
-        from pyarrow import fs
+def open_path(path: str):
+    """Random-access file on any filesystem the executors can reach."""
+    from pyarrow import fs
+
+    local = path.removeprefix("file:") if path.startswith("file:/") else path
+    filesystem, name = fs.FileSystem.from_uri("/" + local.lstrip("/") if local.startswith("/") else local)
+    return filesystem.open_input_file(name)
+
 
-        filesystem, name = fs.FileSystem.from_uri(path)
-        raw = filesystem.open_input_file(name)
+def _open(path: str, content: pa.Buffer | None):
+    """Binary stream over a file, unpacked by its suffix."""
+    raw = open_path(path) if content is None else pa.BufferReader(content)
     if path.endswith(".gz"):
         return gzip.GzipFile(fileobj=raw)
     if path.endswith(".bz2"):
         return bz2.BZ2File(raw)
     if path.endswith(".zip"):
-        archive = zipfile.ZipFile(raw if content is None else io.BytesIO(content))
+        archive = zipfile.ZipFile(raw)
         return archive.open(archive.namelist()[0])
     return raw
 
@@ -164,14 +166,11 @@ def stdf_frames(files: DataFrame, types: list[str] | None = None) -> DataFrame:
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs
-
     for batch in batches:
         digests = []
         for path in batch.column("path").to_pylist():
             digest = hashlib.md5()
-            filesystem, name = fs.FileSystem.from_uri(path)
-            with filesystem.open_input_stream(name) as stream:
+            with open_path(path) as stream:
                 while block := stream.read(_CHUNK):
                     digest.update(block)
             digests.append(digest.hexdigest())
