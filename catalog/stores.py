@@ -184,10 +184,10 @@ FROM part CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(i)""")
 def _(spark, sf):
     base, folder, check = (scratch_path(spark, n) for n in ("tables", "incoming", "check"))
     local = folder.removeprefix("file:")
-    write_datalog_files(spark, sf, local)
-    incremental_load(spark, folder, base, check, F.lit("2024-01-15 00:00:00")).awaitTermination()
-    write_datalog_files(spark, sf, local, prefix="again-")  # the same content under new names
-    incremental_load(spark, folder, base, check, F.lit("2024-01-15 00:00:00")).awaitTermination()
+    write_datalog_files(spark, sf, local, prefixes=("", "again-"))  # every content under two names
+    incremental_load(spark, folder, base, f"{check}-1", F.lit("2024-01-15 00:00:00")).awaitTermination()
+    # A restart that has lost its checkpoint sees every file again and must add nothing.
+    incremental_load(spark, folder, base, f"{check}-2", F.lit("2024-01-15 00:00:00")).awaitTermination()
     fact = t.read_table(spark, base, "measurements")
     named = fact.join(t.read_table(spark, base, "device_mapping"), "wld_id").join(t.read_table(spark, base, "parameter_info"), "wtp_id")
     return named.select("wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "wptm_value", F.col("test_flag").cast("int").alias("test_flag"), "segment")

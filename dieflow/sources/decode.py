@@ -291,16 +291,18 @@ def read_records(files: DataFrame, fields_by_type: dict[str, list[str]]) -> Data
 
 
 def _typed_batches(batch: pa.RecordBatch, layouts: dict[str, Layout], chosen: dict[str, set[str]], schema: pa.Schema):
-    if batch.num_rows == 1 and batch.column("error")[0].is_valid:
-        known = {"path", "record_index", "error"}
-        yield pa.RecordBatch.from_arrays([batch.column(f.name) if f.name in known else pa.nulls(1, f.type) for f in schema], schema=schema)
-        return
-    kinds = batch.column("rec_typ").to_numpy().astype(np.int32) * 256 + batch.column("rec_sub").to_numpy()
+    def shaped(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
+
+    broken = batch.filter(batch.column("error").is_valid())
+    if broken.num_rows:
+        yield shaped({n: broken.column(n) for n in ("path", "record_index", "error")}, broken.num_rows)
+    good = batch.filter(batch.column("error").is_null())
+    kinds = good.column("rec_typ").to_numpy(zero_copy_only=False).astype(np.int32) * 256 + good.column("rec_sub").to_numpy(zero_copy_only=False)
     for name, layout in layouts.items():
-        rows = np.flatnonzero(kinds == layout.typ * 256 + layout.sub)
-        if len(rows) == 0:
+        part = good.filter(pa.array(kinds == layout.typ * 256 + layout.sub))
+        n = part.num_rows
+        if n == 0:
             continue
-        part = batch.take(pa.array(rows))
         columns = decode_bodies(layout, part.column("body"), _little(part), chosen[name])
-        columns |= {"path": part.column("path"), "record_index": part.column("record_index"), "record_type": pa.repeat(pa.scalar(name), len(rows))}
-        yield pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(len(rows), f.type) for f in schema], schema=schema)
+        yield shaped(columns | {"path": part.column("path"), "record_index": part.column("record_index"), "record_type": pa.repeat(pa.scalar(name), n)}, n)

@@ -42,6 +42,7 @@ _ARROW = pa.schema(
     ]
 )
 _CHUNK = 16 << 20
+_BATCH_ROWS = 20_000
 _BIG, _LITTLE = 1, 2  # CPU_TYPE values of the first record; any other means host order
 NOT_FAR = "first record is not FAR"
 TRUNCATED = "record is cut off"
@@ -138,7 +139,24 @@ def _frames(path, data, starts, end, index, little, version, wanted) -> Iterator
 
 
 def frame_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None) -> Iterator[pa.RecordBatch]:
-    """(path, content) batches to frame batches. A broken file gives an error row, never a failed job."""
+    """(path, content) batches to frame batches; the frames of small files share a batch."""
+    return _merged(_file_batches(batches, wanted))
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, rows, size = [], 0, 0
+    for batch in batches:
+        held.append(batch)
+        rows, size = rows + batch.num_rows, size + batch.nbytes
+        if rows >= _BATCH_ROWS or size >= _CHUNK:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None) -> Iterator[pa.RecordBatch]:
+    """A broken file gives an error row, never a failed job."""
     for batch in batches:
         content = batch.column("content")
         for i, path in enumerate(batch.column("path").to_pylist()):

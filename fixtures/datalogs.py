@@ -86,15 +86,16 @@ def datalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.repartition(spark.sparkContext.defaultParallelism).mapInPandas(build, "path string, content binary")
 
 
-def write_datalog_files(spark: SparkSession, sf_dir: str, directory: str, prefix: str = "") -> None:
+def write_datalog_files(spark: SparkSession, sf_dir: str, directory: str, prefixes: tuple[str, ...] = ("",)) -> None:
     """Store the files of every part in a folder, from the tasks that build them."""
     os.makedirs(directory, exist_ok=True)
 
     def save(batches):
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                with open(f"{directory}/{prefix}{path}", "wb") as out:
-                    out.write(content)
+                for prefix in prefixes:
+                    with open(f"{directory}/{prefix}{path}", "wb") as out:
+                        out.write(content)
             yield pdf[["path"]]
 
     datalog_files(spark, sf_dir).mapInPandas(save, "path string").agg(F.count("*")).collect()
