@@ -8,7 +8,7 @@ from dieflow.functions.jsonfields import (
     json_array, json_float, json_float_or_null, json_int, json_string, json_uint, parse_record,
 )
 from dieflow.functions.numbers import (
-    int_prefix, number_prefix, parse_values, parse_values_strict, safe_float, safe_int, safe_uint, six_digits,
+    fixed_six, int_prefix, number_prefix, parse_values, parse_values_strict, safe_float, safe_int, safe_uint, six_digits,
 )
 from dieflow.functions.text import (
     clean_param, clean_param_basic, clean_param_modsum, coordinates, first_non_empty, is_pixel_test,

@@ -73,16 +73,40 @@ def parse_values_strict(text: Column) -> Column:
     return F.when(usable, F.transform(tokens, _try_double)).otherwise(F.array(F.lit(0.0)))
 
 
+def fixed_six(x: Column) -> Column:
+    """Six decimals; an exact tie goes to the even digit."""
+    text = F.format_string("%.6f", F.bround(x.cast("double"), 6))
+    return _special(x).when(x.isNotNull(), text)
+
+
 def six_digits(x: Column) -> Column:
-    """Six significant digits, shortest form, exponent below 1e-4 and from 1e6 on."""
-    sci = F.format_string("%.5e", x.cast("double"))
-    exponent = F.regexp_extract(sci, r"e([+-]\d+)$", 1).try_cast("int")
+    """Six significant digits, shortest form, exponent below 1e-4 and from 1e6 on.
+
+    An exact tie goes to the even digit.
+    """
+    x = x.cast("double")
+    scale = F.pow(F.lit(10.0), F.lit(5) - _exponent(_scientific(x)))
+    scaled = F.abs(x) * scale
+    down = (scaled - F.floor(scaled) == 0.5) & (F.floor(scaled) % 2 == 0)
+    sci = _scientific(F.when(down, F.signum(x) * F.floor(scaled) / scale).otherwise(x))
+    exponent = _exponent(sci)
     mantissa = F.regexp_replace(F.regexp_extract(sci, r"^(.*)e", 1), r"\.?0+$", "")
     fixed = F.regexp_replace(sci.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
     return (
-        F.when(F.isnan(x), "nan")
-        .when(F.abs(x) == F.lit(float("inf")), F.when(x > 0, "inf").otherwise("-inf"))
+        _special(x)
         .when(x == 0, "0")
         .when((exponent < -4) | (exponent >= 6), F.concat(mantissa, F.regexp_extract(sci, r"(e.*)$", 1)))
         .otherwise(fixed)
     )
+
+
+def _scientific(x: Column) -> Column:
+    return F.format_string("%.5e", x)
+
+
+def _exponent(sci: Column) -> Column:
+    return F.regexp_extract(sci, r"e([+-]\d+)$", 1).try_cast("int")
+
+
+def _special(x: Column) -> Column:
+    return F.when(F.isnan(x), "nan").when(F.abs(x) == F.lit(float("inf")), F.when(x > 0, "inf").otherwise("-inf"))

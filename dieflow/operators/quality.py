@@ -38,15 +38,13 @@ def validate_files(records: DataFrame, strict: bool = False) -> DataFrame:
         F.max_by(kind, index).alias("last_type"),
         F.min(F.when(later & (kind != "ATR"), F.struct(index, kind))).alias("after_atr"),
         F.min(F.when(later & ~kind.isin(*_INITIAL), index)).alias("first_other"),
+        F.min(F.when(kind == "RDR", index)).alias("first_rdr"),
     )
     named = records.filter(kind.isin(*_INITIAL, "MRR", "WCR") | ~kind.isin(*known)).select("path", "record_index", "record_type")
 
-    rdr = named.filter(kind == "RDR").select("path", (index - 1).alias("mir_index"), F.lit(1).alias("has_rdr"))
-    heads = (
-        files.withColumn("mir_index", F.col("after_atr.record_index"))
-        .join(rdr, ["path", "mir_index"], "left")
-        .withColumn("head_end", F.col("mir_index") + F.coalesce("has_rdr", F.lit(0)))
-    )
+    # After a correct head, an RDR right behind the MIR is the file's first one.
+    mir_index = F.col("after_atr.record_index")
+    heads = files.withColumn("head_end", mir_index + F.when(F.col("first_rdr") == mir_index + 1, 1).otherwise(0))
     # The body starts at the first record after the head that is no SDR.
     breaks = (
         named.filter(kind.isin(*[t for t in _INITIAL if t != "SDR"]))

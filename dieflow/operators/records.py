@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dieflow.functions.binary import bits_hex, bytes_hex
-from dieflow.functions.numbers import six_digits
+from dieflow.functions.numbers import fixed_six, six_digits
 from dieflow.sources.frames import record_codes
 from dieflow.sources.registry import DEFAULT_TYPES, TEST_TYPES, field_names, layout_of, registry_frame
 
@@ -103,7 +103,7 @@ def field_text(name: str, data_type: T.DataType) -> Column:
     """Text form of one decoded field; NULL (absent) fields take their default first."""
     col = F.col(name)
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        return F.format_string("%.6f", F.coalesce(col, F.lit(0.0)).cast("double"))
+        return fixed_six(F.coalesce(col, F.lit(0.0)))
     if isinstance(data_type, T.ArrayType):
         if isinstance(data_type.elementType, (T.FloatType, T.DoubleType)):
             return F.concat_ws(",", F.transform(col, six_digits))

@@ -1,7 +1,7 @@
 """Counts and distributions over records, measurements and loads."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dieflow.functions.text import non_empty
@@ -78,9 +78,11 @@ def bin_distribution(parts: DataFrame, n: int = 5) -> DataFrame:
         .filter(non_empty(F.col("bin")).isNotNull())
         .groupBy("kind", "bin").agg(F.count("*").alias("n"))
     )
-    top = [counts.filter(F.col("kind") == k).orderBy(F.desc("n"), "bin").limit(n) for k in ("hard", "soft")]
+    # Bins are 16-bit numbers, so the counts ranked here are few.
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("n"), "bin"))
+    top = counts.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
     tested = parts.agg(F.count("*").alias("parts_tested"))
-    return top[0].unionByName(top[1]).crossJoin(F.broadcast(tested))
+    return top.crossJoin(F.broadcast(tested))
 
 
 # Device attributes kept from a device's first measurement.

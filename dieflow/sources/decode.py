@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dieflow.sources.frames import binary_array, frame_batches, gather, record_codes
+from dieflow.sources.frames import binary_array, frame_batches, gather, record_codes, walk_units
 from dieflow.sources.registry import Field, Layout, layout_of
 
 _NUMPY = {
@@ -287,7 +287,7 @@ def read_records(files: DataFrame, fields_by_type: dict[str, list[str]]) -> Data
         for batch in frame_batches(batches, codes):
             yield from _typed_batches(batch, layouts, chosen, arrow)
 
-    return files.select("path", "content").mapInArrow(run, schema)
+    return walk_units(files).mapInArrow(run, schema)
 
 
 def _typed_batches(batch: pa.RecordBatch, layouts: dict[str, Layout], chosen: dict[str, set[str]], schema: pa.Schema):
