@@ -142,14 +142,16 @@ SELECT p.path, c.facility AS wfi_facility, c.operation AS wfi_operation, c.lot_n
 FROM prod p LEFT JOIN ctx c ON p.path = c.path""", "prod", "ctx"))
 def _(spark, sf):
     d, t = with_ids(spark, sf)
-    rows = m.measurement_wide(m.device_test_product(d, t, keep=("wld_id", "wtp_id")), m.mir_context(view(spark, sf, "headers")))
+    d = m.with_mir(d, m.mir_context(view(spark, sf, "headers")))
+    rows = m.measurement_wide(m.device_test_product(d, t, keep=("wld_id", "wtp_id", *m.MIR_COLUMNS)))
     return rows.withColumns({c: F.col(c).cast("int") for c in ("test_flag", "test_flg")})
 
 
 @query("P9_measurement_with_units", with_views(_WIDE + "p.units, p.segment, md5(p.path) AS file_hash FROM seg p LEFT JOIN ctx c ON p.path = c.path", "seg", "ctx"))
 def _(spark, sf):
     d, t = with_ids(spark, sf)
-    rows = m.measurement_wide(m.numbered_product(d, t, keep=("wld_id", "wtp_id", "file_hash")), m.mir_context(view(spark, sf, "headers")), "with_units")
+    d = m.with_mir(d, m.mir_context(view(spark, sf, "headers")))
+    rows = m.measurement_wide(m.numbered_product(d, t, keep=("wld_id", "wtp_id", "file_hash", *m.MIR_COLUMNS)), "with_units")
     return rows.withColumns({c: F.col(c).cast("int") for c in ("test_flag", "test_flg")})
 
 

@@ -13,7 +13,7 @@ from dieflow.session import scratch_path
 from dieflow.sources import atdf, xtdf
 from dieflow.streaming.incremental import incremental_load
 from dieflow.streaming.views import landing_stream, start_view
-from fixtures.datalogs import write_datalog_files
+from fixtures.datalogs import lot_files, write_files
 
 ATDF_NAMES = {"PTR": ["NAME", "SIZE", "TYPE"]}
 
@@ -177,14 +177,15 @@ def _(spark, sf):
 
 
 @query("T3_incremental_load", f"""
-SELECT CASE WHEN p_partkey % 7 = 0 THEN concat('T', p_partkey) ELSE concat('P', p_partkey) END AS wld_device_dmc, p_name AS wtp_param_name,
-       CAST(p_partkey % 4 AS INT) AS wp_pos_x, p_size % 8 AS wp_pos_y, CASE i WHEN 2 THEN p_size::DOUBLE WHEN 3 THEN 0.0 ELSE {PRICE} END AS wptm_value,
-       CASE WHEN p_partkey % 3 = 1 THEN 1 ELSE 0 END AS test_flag, i AS segment
-FROM part CROSS JOIN (VALUES (0), (1), (2), (3)) AS v(i)""")
+SELECT wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, wptm_value, test_flag,
+       row_number() OVER (PARTITION BY lot, wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, test_flag ORDER BY s_suppkey, p_partkey, pos) - 1 AS segment
+FROM (SELECT s_suppkey % 8 AS lot, s_suppkey, p_partkey, pos, CASE WHEN s_suppkey % 7 = 0 THEN concat('T', s_suppkey) ELSE concat('S', s_suppkey % 500) END AS wld_device_dmc,
+        p_name AS wtp_param_name, CAST(p_partkey % 4 AS INT) AS wp_pos_x, p_size % 8 AS wp_pos_y,
+        CASE WHEN p_partkey % 3 = 2 THEN 0.0 WHEN pos = 1 THEN p_size::DOUBLE ELSE {PRICE} END AS wptm_value, CASE WHEN s_suppkey % 3 = 1 THEN 1 ELSE 0 END AS test_flag
+      FROM part JOIN supplier ON p_partkey % 8 = s_suppkey % 8 CROSS JOIN (VALUES (0), (1)) AS v(pos) WHERE pos = 0 OR p_partkey % 3 = 1)""")
 def _(spark, sf):
     base, folder, check = (scratch_path(spark, n) for n in ("tables", "incoming", "check"))
-    local = folder.removeprefix("file:")
-    write_datalog_files(spark, sf, local, prefixes=("", "again-"))  # every content under two names
+    write_files(lot_files(spark, sf, 8), folder.removeprefix("file:"), prefixes=("", "again-"))  # every content under two names
     incremental_load(spark, folder, base, f"{check}-1", F.lit("2024-01-15 00:00:00")).awaitTermination()
     # A restart that has lost its checkpoint sees every file again and must add nothing.
     incremental_load(spark, folder, base, f"{check}-2", F.lit("2024-01-15 00:00:00")).awaitTermination()

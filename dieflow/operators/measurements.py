@@ -253,26 +253,27 @@ def measurement_tuple(product: DataFrame) -> DataFrame:
     )
 
 
-def measurement_wide(product: DataFrame, context: DataFrame, variant: str = "full", source_label: str = "STDF_CPP") -> DataFrame:
+def measurement_wide(product: DataFrame, variant: str = "full", source_label: str = "STDF_CPP") -> DataFrame:
     """The wide row with file context, device state and constants.
 
-    ``full`` has the 25 columns; ``with_units`` adds units and the bin, without constants.
+    The context columns come with the devices: ``with_mir`` joins them below the product,
+    once per device, and ``keep`` carries them. ``full`` has the 25 columns;
+    ``with_units`` adds units and the bin, without constants.
     """
-    rows = with_mir(product, context)
     core = [
         F.col("facility").alias("wfi_facility"), F.col("operation").alias("wfi_operation"), F.col("lot_name").alias("wl_lot_name"),
         F.col("equipment").alias("wfi_equipment"), "wld_device_dmc", F.col("bin_code").alias("wld_bin_code"), "wp_pos_x", "wp_pos_y",
         "wtp_param_name", "wptm_value", "wtp_id", "wld_id", "test_num", "test_flg", "test_flag",
     ]
     if variant == "with_units":
-        return rows.select("path", *core, "units", "segment", "file_hash")
+        return product.select("path", *core, "units", "segment", "file_hash")
     constants = [
         F.lit("").alias("wld_phoenix_id"), F.lit("Y").alias("wld_latest"), F.col("bin_desc").alias("wld_bin_desc"),
         F.col("prog_name").alias("wmp_prog_name"), F.col("prog_version").alias("wmp_prog_version"),
         F.col("start_time").alias("wptm_created_date"), F.lit(source_label).alias("sft_name"), F.lit(source_label).alias("sft_group"),
         F.col("start_time").alias("wld_created_date"), "record_type",
     ]
-    return rows.select("path", *core, *constants)
+    return product.select("path", *core, *constants)
 
 
 def to_fact(measurements: DataFrame, load_ts: Column) -> DataFrame:

@@ -1,6 +1,7 @@
-"""Datalog files built from the part table: one file per part, every record type once.
+"""Datalog files built from the given tables.
 
-Parts alternate byte order; every third file is gzipped.
+``datalog_files``: one file per part with every record type once; parts alternate byte
+order and every third file is gzipped. ``lot_files``: few files with many tests and devices.
 """
 from __future__ import annotations
 
@@ -11,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixtures.encode import datalog, record
+from fixtures.encode import datalog
 
 COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 
@@ -86,8 +87,32 @@ def datalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.repartition(spark.sparkContext.defaultParallelism).mapInPandas(build, "path string, content binary")
 
 
-def write_datalog_files(spark: SparkSession, sf_dir: str, directory: str, prefixes: tuple[str, ...] = ("",)) -> None:
-    """Store the files of every part in a folder, from the tasks that build them."""
+def lot_file(parts, suppliers, little: bool) -> bytes:
+    """A file shaped like a real lot: the parts are its tests, the suppliers its devices."""
+    records = [("MIR", {"LOT_ID": "lot", "START_T": 1700000000})]
+    for p in parts.sort_values("p_partkey").itertuples():
+        values, kind = part_records(p), ("PTR", "MPR", "FTR")[p.p_partkey % 3]
+        records.append((kind, values[kind]))
+    for s in suppliers.sort_values("s_suppkey").itertuples():
+        key = s.s_suppkey
+        records.append(("PRR", {"PART_ID": "" if key % 7 == 0 else f"S{key % 500}", "PART_TXT": f"T{key}", "SOFT_BIN": key % 3, "X_COORD": 1, "Y_COORD": 2}))
+    return datalog(records + [("MRR", {})], little)
+
+
+def lot_files(spark: SparkSession, sf_dir: str, n_files: int) -> DataFrame:
+    """(path, content): parts and suppliers spread over ``n_files`` files by key."""
+
+    def build(key, parts, suppliers):
+        return pd.DataFrame({"path": [f"lot{key[0]}.stdf"], "content": [lot_file(parts, suppliers, key[0] % 2 == 0)]})
+
+    lot = lambda df, key: df.withColumn("lot", F.col(key) % n_files).repartition(n_files, "lot").groupBy("lot")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").select(*COLUMNS)
+    supplier = spark.read.parquet(f"{sf_dir}/supplier.parquet").select("s_suppkey")
+    return lot(part, "p_partkey").cogroup(lot(supplier, "s_suppkey")).applyInPandas(build, "path string, content binary")
+
+
+def write_files(files: DataFrame, directory: str, prefixes: tuple[str, ...] = ("",)) -> None:
+    """Store files in a folder, from the tasks that build them."""
     os.makedirs(directory, exist_ok=True)
 
     def save(batches):
@@ -98,7 +123,7 @@ def write_datalog_files(spark: SparkSession, sf_dir: str, directory: str, prefix
                         out.write(content)
             yield pdf[["path"]]
 
-    datalog_files(spark, sf_dir).mapInPandas(save, "path string").agg(F.count("*")).collect()
+    files.mapInPandas(save, "path string").agg(F.count("*")).collect()
 
 
-__all__ = ["SEQUENCE", "datalog_files", "part_file", "part_path", "part_records", "record", "write_datalog_files"]
+__all__ = ["SEQUENCE", "datalog_files", "lot_files", "part_file", "part_path", "part_records", "write_files"]
