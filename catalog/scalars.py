@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from catalog.views import NUMBER_PREFIX, SAFE_FLOAT, VALUES_SKIP, table, view, with_views
 from dieflow import functions as fn
+from dieflow.functions.sqlfunctions import register_sql_functions
 
 KEYS = ("path", "record_index")
 
@@ -233,3 +234,17 @@ def _(spark, sf):
     data = F.array(
         F.struct(F.lit("U4").alias("tag"), F.col("test_num").cast("string").alias("value")), F.struct(F.lit("Cn").alias("tag"), F.col("test_txt").alias("value")))
     return view(spark, sf, "test_records").select(*KEYS, fn.generic_values(data))
+
+
+@query("E1_sql_functions", with_views(r"""
+SELECT path, record_index, {sf} AS value, TRY_CAST(nullif(regexp_extract(alarm_id, 'Pixel=R(\d+)C(\d+)', 2), '') AS INT) AS x,
+       TRY_CAST(nullif(regexp_extract(alarm_id, 'Pixel=R(\d+)C(\d+)', 1), '') AS INT) AS y, {np} AS first_value,
+       regexp_replace(regexp_replace(alarm_id, ';Pixel=R\d+C\d+', '', 'g'), '^Pixel=R\d+C\d+;', '') AS name,
+       contains(alarm_id, 'Pixel=') OR contains(test_txt, 'Pixel=') AS pixel FROM test_records
+""".replace("{sf}", SAFE_FLOAT.format(x="result")).replace("{np}", NUMBER_PREFIX.format(x="rtn_rslt")), "test_records"))
+def _(spark, sf):
+    register_sql_functions(spark)
+    view(spark, sf, "test_records").createOrReplaceTempView("test_records")
+    return spark.sql("""
+        SELECT path, record_index, df_safe_float(result) AS value, df_pixel_x(alarm_id) AS x, df_pixel_y(alarm_id) AS y, df_number_prefix(rtn_rslt) AS first_value,
+               df_clean_param(alarm_id) AS name, df_is_pixel_test(alarm_id, test_txt) AS pixel FROM test_records""")

@@ -169,10 +169,8 @@ def union_entities(*sources: DataFrame) -> DataFrame:
 
 def field_set_ops(left: DataFrame, right: DataFrame) -> DataFrame:
     """Names common to both sides, only on the left, only on the right: (name, side)."""
-    names = left.columns[0]
-    right = right.toDF(names)
-    return (
-        left.intersect(right).withColumn("side", F.lit("common"))
-        .union(left.subtract(right).withColumn("side", F.lit("left")))
-        .union(right.subtract(left).withColumn("side", F.lit("right")))
-    )
+    name = left.columns[0]
+    flagged = left.select(name, F.lit(True).alias("_l"), F.lit(False).alias("_r")).union(right.select(F.col(right.columns[0]), F.lit(False), F.lit(True)))
+    # One grouped pass instead of an intersection and two differences.
+    sides = flagged.groupBy(name).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    return sides.select(name, F.when(F.col("_l") & F.col("_r"), "common").when(F.col("_l"), "left").otherwise("right").alias("side"))
