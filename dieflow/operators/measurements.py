@@ -147,7 +147,8 @@ def product_grid(left: DataFrame, right: DataFrame, on: str, cell_rows: int = CE
     area, side = F.lit(float(cell_rows)), F.lit(float(cell_rows) ** 0.5)
     stripes_l = F.ceil(F.col("_l") / F.greatest(side, area / F.col("_r")))
     stripes_r = F.least(F.ceil(F.col("_r") / F.greatest(side, area / F.col("_l"))), F.col("_rn"))
-    return sizes.select(on, stripes_l.cast("int").alias("_nl"), stripes_r.cast("int").alias("_nr"))
+    # One row per key, read by both sides.
+    return materialize(sizes.select(on, stripes_l.cast("int").alias("_nl"), stripes_r.cast("int").alias("_nr")))
 
 
 def grid_join(left: DataFrame, right: DataFrame, on: str, grid: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from dieflow.functions.text import normalize_name
+from dieflow.session import materialize
 from dieflow.sources.registry import record_types
 
 # Outcomes of the validation rules.
@@ -33,12 +34,15 @@ def validate_files(records: DataFrame, strict: bool = False) -> DataFrame:
     known = [t for t in record_types() if not (strict and t == "DTR")]
     index, kind = F.col("record_index"), F.col("record_type")
     later = index > 1
-    files = records.groupBy("path").agg(
-        F.min_by(kind, index).alias("first_type"),
-        F.max_by(kind, index).alias("last_type"),
-        F.min(F.when(later & (kind != "ATR"), F.struct(index, kind))).alias("after_atr"),
-        F.min(F.when(later & ~kind.isin(*_INITIAL), index)).alias("first_other"),
-        F.min(F.when(kind == "RDR", index)).alias("first_rdr"),
+    # One row per file, used by every later step.
+    files = materialize(
+        records.groupBy("path").agg(
+            F.min_by(kind, index).alias("first_type"),
+            F.max_by(kind, index).alias("last_type"),
+            F.min(F.when(later & (kind != "ATR"), F.struct(index, kind))).alias("after_atr"),
+            F.min(F.when(later & ~kind.isin(*_INITIAL), index)).alias("first_other"),
+            F.min(F.when(kind == "RDR", index)).alias("first_rdr"),
+        )
     )
     named = records.filter(kind.isin(*_INITIAL, "MRR", "WCR") | ~kind.isin(*known)).select("path", "record_index", "record_type")
 
@@ -52,15 +56,17 @@ def validate_files(records: DataFrame, strict: bool = False) -> DataFrame:
         .filter(index > F.col("head_end"))
         .groupBy("path").agg(F.min("record_index").alias("first_break"))
     )
-    bodies = heads.join(breaks, "path", "left").withColumn("body_start", F.least("first_other", "first_break"))
+    bodies = materialize(heads.join(breaks, "path", "left").withColumn("body_start", F.least("first_other", "first_break")))
 
+    # The first of a forbidden type and the second of a single one break a rule; the
+    # rank limit is applied before the shuffle, so a repeated type is no hot group.
+    single = kind.isin("MRR", "WCR")
     checked = index > F.col("body_start") if strict else index >= F.col("body_start")
-    body = named.join(bodies.select("path", "body_start"), "path").filter(checked)
     seen = F.row_number().over(Window.partitionBy("path", "record_type").orderBy("record_index"))
-    repeated = body.filter(kind.isin("MRR", "WCR")).withColumn("_seen", seen).filter(F.col("_seen") <= 2).filter(F.col("_seen") == 2)
+    ranked = named.join(bodies.select("path", "body_start"), "path").filter(checked).withColumn("_seen", seen).filter(F.col("_seen") <= 2)
     message = F.when(kind == "MRR", TWO_MRR).when(kind == "WCR", TWO_WCR).when(kind.isin(*_INITIAL), OUTSIDE).otherwise(UNKNOWN)
     broken = (
-        body.filter(~kind.isin("MRR", "WCR")).unionByName(repeated.drop("_seen"))
+        ranked.filter(F.col("_seen") == F.when(single, 2).otherwise(1))
         .groupBy("path").agg(F.min_by(message, "record_index").alias("body_problem"))
     )
     outcome = (
