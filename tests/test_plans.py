@@ -42,7 +42,8 @@ def test_top_k_sorts_no_more_than_k(spark):
 
 
 def test_compaction_needs_one_shuffle(spark, tmp_path):
-    t.create_tables(spark, str(tmp_path))
+    one = "1L wld_id, 1L wtp_id, 0 wp_pos_x, 0 wp_pos_y, 1.0D wptm_value, timestamp'2024-01-02' wptm_created_date, 1 test_flag, 0L segment, 'h' file_hash"
+    t.write_measurements(spark.sql(f"SELECT {one}"), str(tmp_path))
     rows = t.read_table(spark, str(tmp_path), "measurements").filter(F.col("yyyymm").isin(202401))
     order = ["yyyymm", *t.TABLES["measurements"].order]
     text = plan(rows.repartitionByRange(4, *order).distinct())
