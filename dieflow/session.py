@@ -27,18 +27,18 @@ def session(app: str = "dieflow", **conf: str) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the cluster's own, a local one only in local mode."""
+    """The shared folder for intermediate tables, as the session names it.
+
+    Only where nothing is set, and only in local mode, a folder of our own is used.
+    """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    current = sc.getCheckpointDir()
-    if current is None:
-        if configured is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-            configured = tempfile.mkdtemp(prefix="dieflow-")
-        sc.setCheckpointDir(configured)
-        current = sc.getCheckpointDir()
-    return current
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if shared is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="dieflow-"))
+        shared = sc.getCheckpointDir()
+    return shared
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
