@@ -11,7 +11,7 @@ from dieflow.session import materialize
 from dieflow.sources import decode as d
 from dieflow.sources.files import file_manifest, stdf_files
 from dieflow.sources.frames import record_type_column, stdf_frames
-from dieflow.sources.registry import layout_of, record_types, register_record_type, registry_frame, unregister_record_type
+from dieflow.sources.registry import layout_of, register_record_type, registry_frame, unregister_record_type
 from fixtures.datalogs import SEQUENCE, datalog_files
 
 OTHER = ["FAR", "ATR", "MRR", "PCR", "PMR", "PGR", "PLR", "RDR", "SDR", "WIR", "WRR", "WCR", "PIR", "TSR", "BPS", "EPS", "GDR", "DTR"]
@@ -153,7 +153,7 @@ _MPR_TEXT = {"RTN_RSLT": f"concat(printf('%g', {PRICE}), ',', printf('%g', p_siz
 
 @query("P14_record_fields", " UNION ALL ".join(
     f"SELECT {PATH} AS path, '{t}' AS record_type, '{f}' AS field, {sql} AS value FROM part"
-    for t, table_ in (("PTR", _PTR_TEXT), ("MPR", _MPR_TEXT)) for f, sql in table_.items()))
+    for t, texts in (("PTR", _PTR_TEXT), ("MPR", _MPR_TEXT)) for f, sql in texts.items()))
 def _(spark, sf):
     keep = F.when(F.col("record_type") == "PTR", F.col("field").isin(*_PTR_TEXT)).otherwise(F.col("field").isin(*_MPR_TEXT))
     return text_records(spark, sf, ["PTR", "MPR"]).select("path", "record_type", F.explode("fields").alias("field", "value")).filter(keep)
@@ -193,9 +193,6 @@ def _(spark, sf):
     return chosen.select("path", "record_type", F.size("fields").alias("n_fields"), F.col("fields")["TEST_NUM"].alias("test_num"))
 
 
-_KNOWN = ", ".join(f"('{t}')" for t in record_types())
-
-
 @query("P3_validate_fields", f"""
 SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'QQQ' ELSE 'PTR' END AS record_type, CASE WHEN p_partkey % 3 = 1 THEN 'RESULT' ELSE upper(p_brand) END AS field,
        CASE WHEN p_partkey % 3 = 0 THEN 'unknown type' ELSE 'unknown field' END AS problem FROM part WHERE p_partkey % 3 <> 1""")

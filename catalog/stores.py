@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.binaries import PATH, PIXEL, PRICE, text_records
-from catalog.measures import WLD, WTP, devices, tests, with_ids
+from catalog.measures import WLD, WTP, devices, with_ids
 from catalog.registry import query
 from catalog.views import table, view, with_views
 from dieflow.operators import dedup, dims, landing, measurements as m
