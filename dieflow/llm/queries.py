@@ -5,8 +5,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dieflow.llm import records, token_counts as tokens
+from dieflow.llm import contamination, near_dup, quality, records, segmentations, token_counts as tokens, topk
 from dieflow.llm.common import table
 from dieflow.session import scratch_path
 
@@ -24,6 +25,56 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_benchmark_templates")
+def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op3_exact_topk", """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256.0 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
+)
+SELECT * FROM ranked WHERE rank <= 5""")
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1").filter(~held_out).select("doc_id")
+    scored = quality.quality_scores(table(spark, sf_dir, "documents"), trusted, ~held_out)
+    return scored.select("doc_id", (~F.col("learned_from")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_near_duplicates", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both >= 75 * (na.n + nb.n - both)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
+), c AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id
+)
+SELECT c.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, c.doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)""")
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), similar=75)
+
+
 @query("op7_token_counts")
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
@@ -34,3 +85,9 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "records")
     records.write_records(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
     return records.read_records(spark, folder, with_ids=False)
+
+
+@query("op10_sampled_segmentations")
+def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = segmentations.sampled_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
+    return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")

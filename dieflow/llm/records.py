@@ -298,9 +298,8 @@ def _documents(bodies: list[bytes], start: int, with_ids: bool) -> tuple[pd.Data
         row = (None if flags & 128 else doc, start, len(ids) // 4, zlib.crc32(ids))
         rows.append((*row, ids) if with_ids else row)
         start += len(ids) // 4
-    names = ["doc_id", "start", "n_tokens", "ids_crc32", "ids"]
-    frame = pd.DataFrame(rows, columns=names if with_ids else names[:4])
-    return frame.astype({"doc_id": "Int64"}), start
+    columns = dict(zip(["doc_id", "start", "n_tokens", "ids_crc32", "ids"], zip(*rows)))
+    return pd.DataFrame(columns | {"doc_id": pd.array(columns["doc_id"], "Int64")}), start
 
 
 def fetch(folder: str, path: str, entries: np.ndarray) -> Iterator[bytes]:
