@@ -145,21 +145,18 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"v": np.array([_fingerprint(s) for s in sets], np.int64), "shingles": [s.tobytes() for s in sets]})
 
 
-@F.pandas_udf("bigint")
 def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     """Shingles that two sets share."""
     both = zip(a, b)
     return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True)) for x, y in both], dtype="int64")
 
 
-@F.pandas_udf("array<bigint>")
 def _keys(sig: pd.Series) -> pd.Series:
     if not len(sig):
         return pd.Series([], dtype=object)
     return pd.Series(list(bucket_keys(np.frombuffer(b"".join(sig), np.uint16).reshape(-1, VALUES))))
 
 
-@F.pandas_udf("int")
 def _differing(a: pd.Series, b: pd.Series) -> pd.Series:
     """Values in which two signatures differ."""
     x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(-1, VALUES) for s in (a, b))
@@ -216,7 +213,7 @@ def near_duplicates(
     vertices = scratch.keep(
         full.groupBy("v").agg(F.min("doc_id").alias("rep"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")), "vertices"
     )
-    entries = vertices.select("v", F.explode(_keys("sig")).alias("key"))
+    entries = vertices.select("v", F.explode(F.pandas_udf(_keys, "array<bigint>")("sig")).alias("key"))
     buckets = entries.groupBy("key").agg(
         F.count("*").alias("size"), F.min("v").alias("leader"), F.max("v").alias("last"),
         F.sum(F.xxhash64("v").cast("decimal(38,0)")).alias("members"),
@@ -274,7 +271,7 @@ def _near(pairs: DataFrame, sizes: DataFrame, similar: int) -> DataFrame:
     side = lambda k: sizes.select(F.col("v").alias(k), F.col("n").alias(f"n_{k}"), F.col("sig").alias(f"sig_{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     both = both.filter(100 * F.least("n_a", "n_b") >= similar * F.greatest("n_a", "n_b"))
-    return both.filter(_differing("sig_a", "sig_b") <= FAR).select("a", "b")
+    return both.filter(F.pandas_udf(_differing, "int")("sig_a", "sig_b") <= FAR).select("a", "b")
 
 
 def _confirmed(rows: DataFrame, vertices: DataFrame, pairs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
@@ -284,7 +281,7 @@ def _confirmed(rows: DataFrame, vertices: DataFrame, pairs: DataFrame, similar:
     sets = scratch.keep(texts.mapInPandas(_sets, "v long, shingles binary").dropDuplicates(["v"]), "sets")
     size = (F.length("shingles") / 8).cast("bigint")
     side = lambda k: sets.select(F.col("v").alias(k), F.col("shingles").alias(f"set_{k}"), size.alias(f"n_{k}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", _shared("set_a", "set_b"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.pandas_udf(_shared, "bigint")("set_a", "set_b"))
     links = both.filter(100 * F.col("shared") >= similar * (F.col("n_a") + F.col("n_b") - F.col("shared"))).select("a", "b")
     links = scratch.keep(links, "confirmed")
     scratch.drop(sets)

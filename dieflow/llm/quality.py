@@ -25,8 +25,10 @@ NAMES = [*GROUPS, "repeat", "word", "long", *RARE]
 WIDTH = len(NAMES) + 1
 RIDGE, STEPS, TOLERANCE = 1e-3, 20, 1e-5
 BINS = 400
-# Upper score tails holding at least this share of the positives are used to estimate the prior.
-LEAST_TAIL = 0.2
+# Upper score tails holding at least this share of the positives are used to estimate the prior. The
+# smallest of noisy ratios is a little too small, which only lowers the scores of clear positives; a
+# prior that is too large would make clear negatives look good.
+LEAST_TAIL = 0.5
 LEAST_PRIOR, MOST_PRIOR = 0.02, 0.98
 
 _GROUP = np.zeros((256, len(GROUPS)))
@@ -84,7 +86,7 @@ def _fit(rows: DataFrame, n: int, n_trusted: int, scale: np.ndarray, prior: floa
     """Minimise the non-negative risk by damped Newton steps; each step is one pass over all rows.
 
     With logistic loss the risk is prior x E_trusted[l(g)] + max(0, E_all[l(-g)] - prior x E_trusted[l(-g)]).
-    While the second part is negative it is pushed back up instead, as the method asks.
+    Where the second part is below zero it is cut off, so only the first one steers the step.
     """
     best, step, move = None, 1.0, np.zeros(WIDTH)
     for _ in range(STEPS):
@@ -96,8 +98,8 @@ def _fit(rows: DataFrame, n: int, n_trusted: int, scale: np.ndarray, prior: floa
             s = _sigmoid(g)
             p = trusted
             pos, neg, all_ = _softplus(-g[p]).sum(), _softplus(g[p]).sum(), _softplus(g).sum()
-            curve = (z * (s * (1 - s))[:, None]).T @ z
-            return np.concatenate([[pos, neg, all_], (s[p] - 1) @ z[p], s[p] @ z[p], s @ z, curve.ravel()])
+            bend = z * (s * (1 - s))[:, None]
+            return np.concatenate([[pos, neg, all_], (s[p] - 1) @ z[p], s[p] @ z[p], s @ z, (bend.T @ z).ravel(), (bend[p].T @ z[p]).ravel()])
 
         v = _summed(rows, partial)
         pos, neg, every = v[:3]
@@ -111,9 +113,11 @@ def _fit(rows: DataFrame, n: int, n_trusted: int, scale: np.ndarray, prior: floa
         w, best, step = at, risk, 1.0
         if done:
             break
-        down = d_all / n - prior * d_neg / n_trusted
-        gradient = prior * d_pos / n_trusted + down + RIDGE * w if negative >= 0 else RIDGE * w - down
-        curve = v[3 + 3 * WIDTH:].reshape(WIDTH, WIDTH) / n + RIDGE * np.eye(WIDTH)
+        c_all, c_trusted = v[3 + 3 * WIDTH:].reshape(2, WIDTH, WIDTH)
+        gradient, curve = prior * d_pos / n_trusted, prior * c_trusted / n_trusted
+        if negative >= 0:
+            gradient, curve = gradient + d_all / n - prior * d_neg / n_trusted, c_all / n
+        gradient, curve = gradient + RIDGE * w, curve + RIDGE * np.eye(WIDTH)
         move = -np.linalg.solve(curve, gradient)
         move *= min(1.0, 10 / max(1e-9, np.abs(move).max()))
     return w
@@ -139,7 +143,7 @@ def quality_scores(
 
     Positives are the documents named in ``trusted_ids`` (column ``doc_id``) where ``learn`` holds;
     all documents where ``learn`` holds are the unlabelled set. No negative label is used. The
-    class prior is estimated from a first fit (prior 0.5) by tails of its scores, then the
+    class prior is estimated from a first fit (prior 0.5) by upper tails of its scores, then the
     risk is minimised again. A score depends on the text alone. Every pass is a distributed
     sum over all rows of a stored table of features; only sums reach the driver.
 

@@ -32,8 +32,8 @@ def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_exact_topk", """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256.0 * CAST(x AS DOUBLE))) AS v FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256.0 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
@@ -56,15 +56,15 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_duplicates", """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-    '[\\x20\\x09-\\x0D]+'), x -> x <> '') AS w FROM documents
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
 ), s AS (
   SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
   FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM w WHERE len(w) > 0)
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), links AS (
-  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
-  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both >= 75 * (na.n + nb.n - both)
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n_both FROM s x JOIN s y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * n_both >= 75 * (na.n + nb.n - n_both)
 ), reach AS (
   SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON links.a = reach.other
 ), c AS (

@@ -132,7 +132,7 @@ def top_k(
     def meet(state: DataFrame, extra: list[str]) -> DataFrame:
         """Every block of queries with every block of candidates, dealt by group of candidate blocks."""
         blocks = asked.join(state, "vec_id").mapInPandas(_packed(QUERIES, extra), PACKED)
-        blocks = blocks.select(*(F.col(c).alias(c if c == "width" else f"{c}_q") for c in blocks.columns), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("bigint").alias("part"))
+        blocks = blocks.select(*(F.col(c).alias(c if c == "width" else f"{c}_q") for c in blocks.columns), F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint"))).alias("part"))
         return packs.join(blocks, ["part", "width"])
 
     # Bounds of a query's scores from its components and the largest one of any vector.

