@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dieflow.llm import contamination, near_dup, quality, records, segmentations, token_counts as tokens, topk
+from dieflow.llm import contamination, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk
 from dieflow.llm.common import table
 from dieflow.session import scratch_path
 
@@ -87,6 +87,11 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.read_records(spark, folder, with_ids=False)
 
 
+@query("op9_repeated_strings")
+def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
+
+
 @query("op10_sampled_segmentations")
 def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = segmentations.sampled_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
