@@ -3,11 +3,19 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dieflow.session import scratch_path
 
 
+# Bits of a filter over 64-bit keys: 2 MB, however many keys there are.
+FILTER_BITS = 24
+
+
 class Scratch:
     """Intermediate tables of one operator call, in the shared checkpoint folder.
 
@@ -44,3 +52,35 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def key_filter(keys: DataFrame, column: str) -> Broadcast:
+    """A bit map of fixed size over a column of well-spread 64-bit keys, built by Spark and sent to every task."""
+    low = F.pmod(F.col(column), F.lit(1 << FILTER_BITS))
+    parts = keys.groupBy(F.shiftright(low, 15).alias("part")).agg(F.bitmap_construct_agg(low.bitwiseAND(F.lit(32767))).alias("bits")).collect()
+    bits = bytearray(1 << FILTER_BITS - 3)
+    for part, found in parts:
+        bits[part * 4096:part * 4096 + 4096] = found
+    return keys.sparkSession.sparkContext.broadcast(bytes(bits))
+
+
+def maybe_in(shared: Broadcast, column: str) -> Column:
+    """Whether a key may be among those of the filter; never false for one that is."""
+
+    def known(key: pd.Series) -> pd.Series:
+        at = key.to_numpy() & ((1 << FILTER_BITS) - 1)
+        return pd.Series(np.frombuffer(shared.value, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1)
+
+    return F.pandas_udf(known, "boolean")(column)
+
+
+def narrowed(rows: DataFrame, keys: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may have one of the keys, to be joined exactly, and rows that have none."""
+    marked = rows.withColumn("_known", maybe_in(key_filter(keys, column), column))
+    return marked.filter("_known").drop("_known"), marked.filter("not _known").drop("_known")
+
+
+def without(rows: DataFrame, keys: DataFrame, column: str) -> DataFrame:
+    """Rows whose key is not among ``keys``; only rows that pass the filter are shuffled."""
+    some, rest = narrowed(rows, keys, column)
+    return rest.unionByName(some.join(keys, column, "left_anti"))

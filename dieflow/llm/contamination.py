@@ -10,16 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dieflow.llm.common import Scratch
+from dieflow.llm.common import FILTER_BITS, Scratch, key_filter, without
 
 # Template tokens of a window; words of its own that it must hold.
 WINDOW, LITERAL = 8, 5
 # An item is leaked where matched windows cover this share of it, or this many lie on one
 # alignment (6 windows of 8 are 13 tokens in a row).
 SHARE, RUN = 0.5, 6
-# Bits of the filter over the benchmark's windows: 2 MB whatever the benchmark's size.
-FILTER_BITS = 24
-CHARS, CACHE = 1 << 21, 1_000_000
+CHARS, CACHE = 1 << 21, 300_000
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?:\n]")
 # Number words and units (English, German, French, Spanish).
 NUMBER_WORDS = frozenset("""one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety
@@ -165,12 +163,7 @@ def contamination(
     cut = scratch.keep(cut.join(longest, ["item_id", "length"]), "items")
     sizes = cut.groupBy("item_id").agg(F.count_distinct("pos").alias("n_windows"))
     used = [r[0] for r in cut.select("length").distinct().collect()]
-    low = F.col("hash").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    parts = cut.groupBy(F.shiftright(low, 15).alias("part")).agg(F.bitmap_construct_agg(low.bitwiseAND(F.lit(32767))).alias("bits")).collect()
-    bits = bytearray(1 << FILTER_BITS - 3)
-    for part, found in parts:
-        bits[part * 4096:part * 4096 + 4096] = found
-    shared = spark.sparkContext.broadcast(bytes(bits))
+    shared = key_filter(cut, "hash")
     passed = rows.select("key", "text").mapInPandas(_windows(sorted(used), shared), WINDOWS)
     ours = cut.select("item_id", "length", "hash", F.col("pos").alias("item_pos"), F.col("slots").alias("item_slots"))
     # Copies of a text have equal windows.
@@ -198,4 +191,4 @@ def contamination(
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no benchmark item; all columns stay."""
     found = contamination(docs.select(F.xxhash64("text").alias("doc_id"), "text"), benchmark).filter("contaminated").select(F.col("doc_id").alias("_key")).distinct()
-    return docs.withColumn("_key", F.xxhash64("text")).join(found, "_key", "left_anti").drop("_key")
+    return without(docs.withColumn("_key", F.xxhash64("text")), found, "_key").drop("_key")

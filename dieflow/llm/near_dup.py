@@ -27,7 +27,7 @@ FAR = 33
 BLOCK = 256
 # Characters of text handled together.
 CHARS = 1 << 21
-CACHE = 1_000_000
+CACHE = 300_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dieflow.llm import contamination, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk
+from dieflow.llm import contamination, language, line_runs, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk
 from dieflow.llm.common import table
 from dieflow.session import scratch_path
 
@@ -30,6 +30,33 @@ def op1_benchmark_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op2_line_runs", """
+WITH l AS (
+  SELECT doc_id, lines, unnest(lines) AS line, generate_subscripts(lines, 1) AS i
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents WHERE text <> '')
+), c AS (
+  SELECT doc_id, lines, line, i, len(regexp_extract_all(line, '\\S+')) AS words,
+    sum(len(regexp_extract_all(line, '\\S+'))) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM l
+), w AS (
+  SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.words >= 20 GROUP BY a.doc_id, a.i
+  UNION
+  SELECT a.doc_id, max(b.i) AS s, a.i AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i <= a.i AND a.upto - b.upto + b.words >= 20 GROUP BY a.doc_id, a.i
+), n AS (
+  SELECT w.doc_id, s, e, row_number() OVER (PARTITION BY array_to_string(lines[s : e], chr(10)) ORDER BY w.doc_id, s) AS copy
+  FROM w JOIN (SELECT DISTINCT doc_id, lines FROM l) d ON d.doc_id = w.doc_id
+), gone AS (
+  SELECT DISTINCT l.doc_id, l.i FROM l JOIN n ON n.doc_id = l.doc_id AND n.copy > 1 AND l.i BETWEEN n.s AND n.e
+), kept AS (
+  SELECT l.doc_id, count(*) AS n_lines, count(gone.i) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY l.i) FILTER (WHERE gone.i IS NULL), '') AS text
+  FROM l LEFT JOIN gone ON gone.doc_id = l.doc_id AND gone.i = l.i GROUP BY l.doc_id
+)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept USING (doc_id)""")
+def op2_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_runs.dedup_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "line_dedup.n_lines", "line_dedup.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op3_exact_topk", """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256.0 * CAST(x AS DOUBLE))) AS v FROM embeddings
@@ -53,6 +80,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("learned_from")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query("op5_page_language")
+def op5_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.languages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 @query("op6_near_duplicates", """
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

@@ -19,13 +19,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dieflow.llm.common import Scratch
+from dieflow.llm.common import Scratch, narrowed
 
 LENGTH, GRAM = 400, 256
 # Bytes handled together; longer texts are cut into parts that overlap by one string.
 CHUNK = 1 << 22
 PLACE_BITS = 24
-FILTER_BITS = 24
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -166,23 +165,6 @@ def _asked(number: np.ndarray, pos: np.ndarray, asked: list) -> np.ndarray:
     return np.isin(number.astype(np.int64) << 40 | pos, wanted)
 
 
-def _narrowed(docs: DataFrame, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``v`` may be in ``ids``, and the others, by a bit map of fixed size (2 MB)."""
-    low = F.pmod(F.col("v"), F.lit(1 << FILTER_BITS))
-    parts = ids.groupBy(F.shiftright(low, 15).alias("part")).agg(F.bitmap_construct_agg(low.bitwiseAND(F.lit(32767))).alias("bits")).collect()
-    bits = bytearray(1 << FILTER_BITS - 3)
-    for part, found in parts:
-        bits[part * 4096:part * 4096 + 4096] = found
-    shared = docs.sparkSession.sparkContext.broadcast(bytes(bits))
-
-    def known(v: pd.Series) -> pd.Series:
-        at = v.to_numpy() & ((1 << FILTER_BITS) - 1)
-        return pd.Series(np.frombuffer(shared.value, np.uint8)[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1)
-
-    marked = docs.withColumn("_known", F.pandas_udf(known, "boolean")("v"))
-    return marked.filter("_known").drop("_known"), marked.filter("not _known").drop("_known")
-
-
 def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (array of start, stop).
 
@@ -208,7 +190,7 @@ def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: st
     asked = marks.join(twice, "gram").groupBy("v").agg(F.collect_set("pos").alias("at"))
     asked = scratch.keep(asked, "asked")
     scratch.drop(marks)
-    contexts = _narrowed(texts, asked)[0].dropDuplicates(["v"]).join(asked, "v")
+    contexts = narrowed(texts, asked, "v")[0].dropDuplicates(["v"]).join(asked, "v")
     contexts = scratch.keep(
         contexts.select("v", "text", "at").mapInPandas(_contexts, "v long, pos long, gram long, context long, first long, last long"), "contexts"
     )
@@ -218,7 +200,7 @@ def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: st
     mixed = named.groupBy("gram").agg(F.min("context").alias("a"), F.max("context").alias("b")).filter("a <> b").select("gram")
     ones = named.join(mixed, "gram").select("one.v", "one.pos").groupBy("v").agg(F.collect_set("pos").alias("at"))
     ones = scratch.keep(ones, "ones")
-    strings = _narrowed(texts, ones)[0].dropDuplicates(["v"]).join(ones, "v").select("v", "text", "at")
+    strings = narrowed(texts, ones, "v")[0].dropDuplicates(["v"]).join(ones, "v").select("v", "text", "at")
     strings = scratch.keep(strings.mapInPandas(_strings, "v long, pos long, start long, name long"), "strings")
     again = strings.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1").select("name")
     # A string found in two contexts; contexts of several samples are known to repeat already.
@@ -228,7 +210,7 @@ def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: st
     runs = scratch.keep(runs, "runs")
     scratch.drop(contexts, named, asked, ones, strings, copies)
 
-    some, rest = _narrowed(rows.withColumn("id", F.col("doc_id").cast("string")).drop("doc_id"), runs)
+    some, rest = narrowed(rows.withColumn("id", F.col("doc_id").cast("string")).drop("doc_id"), runs, "v")
     cut = some.join(runs, "v", "left").select("id", "text", "runs", F.coalesce("whole", F.lit(False)).alias("whole"))
     spans = "array<struct<start:bigint,stop:bigint>>"
     cut = cut.mapInPandas(_removed, f"id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans {spans}")
