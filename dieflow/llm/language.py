@@ -124,7 +124,7 @@ def languages(
         """Text posteriors added up by key, as arrays; partial sums before the shuffle."""
         return scored.groupBy(*keys).agg(F.array(*[F.sum(F.col("q")[i]) for i in range(len(langs))]).alias("sums"))
 
-    whole = np.array(summed([]).first()[0] or [0.0] * len(langs)) + ADDED
+    whole = np.array([x or 0.0 for x in summed([]).first()[0]]) + ADDED
     base = F.array(*[F.lit(float(x)) for x in whole / whole.sum()])
     mass = F.array(*[F.lit(float(x)) for x in whole])
     out = scored
