@@ -54,7 +54,7 @@ def main() -> None:
 
     # A directory of real files, loaded twice; the second load must add nothing.
     folder, base = scratch_path(spark, "incoming"), scratch_path(spark, "tables")
-    write_files(lot_files(spark, SF_DIR, 8), folder.removeprefix("file:"))
+    write_files(lot_files(spark, SF_DIR, 8), folder)
     t.create_tables(spark, base)
     stamp = F.lit("2024-01-15 00:00:00")
 

@@ -7,12 +7,12 @@ from catalog.registry import query
 from catalog.views import table
 from dieflow.functions import record_type_name
 from dieflow.operators import flatten, landing, records as r
-from dieflow.session import materialize
+from dieflow.session import materialize, scratch_path
 from dieflow.sources import decode as d
 from dieflow.sources.files import file_manifest, stdf_files
 from dieflow.sources.frames import record_type_column, stdf_frames
 from dieflow.sources.registry import layout_of, register_record_type, registry_frame, unregister_record_type
-from fixtures.datalogs import SEQUENCE, datalog_files
+from fixtures.datalogs import SEQUENCE, datalog_files, write_files
 
 OTHER = ["FAR", "ATR", "MRR", "PCR", "PMR", "PGR", "PLR", "RDR", "SDR", "WIR", "WRR", "WCR", "PIR", "TSR", "BPS", "EPS", "GDR", "DTR"]
 PATH = "concat('p', p_partkey, '.stdf', CASE WHEN p_partkey % 3 = 0 THEN '.gz' ELSE '' END)"
@@ -33,9 +33,12 @@ def text_records(spark, sf, types):
     return out
 
 
-@query("S1_stdf_files")
+@query("S1_stdf_files", "SELECT concat('d', doc_id, '.stdf') AS name, strlen(text) AS length, md5(text) AS file_hash FROM documents")
 def _(spark, sf):
-    files = stdf_files(spark, sf, suffixes=("parquet",))
+    folder = scratch_path(spark, "files")
+    docs = table(spark, sf, "documents")
+    write_files(docs.select(F.concat(F.lit("d"), "doc_id", F.lit(".stdf")).alias("path"), F.encode("text", "utf-8").alias("content")), folder)
+    files = stdf_files(spark, folder)
     return file_manifest(files).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "file_hash")
 
 

@@ -222,7 +222,9 @@ def _(spark, sf):
     return df.select(fn.yyyymm(F.col("wptm_created_date")).cast("bigint").alias("yyyymm")).groupBy("yyyymm").agg(F.count("*").alias("n"))
 
 
-@query("F24_synthetic_wld_id")
+@query("F24_synthetic_wld_id", with_views("""
+SELECT path, record_index, list_sum(list_transform(range(1, 9), lambda i: (strpos('0123456789abcdef', substr(md5(path), i, 1)) - 1) * power(16, 8 - i)))::BIGINT
+  % 2147483648 + record_index AS wld_id FROM test_records""", "test_records"))
 def _(spark, sf):
     return view(spark, sf, "test_records").select(*KEYS, fn.synthetic_wld_id(F.col("path"), F.col("record_index")).alias("wld_id"))
 

@@ -185,7 +185,7 @@ FROM (SELECT s_suppkey % 8 AS lot, s_suppkey, p_partkey, pos, CASE WHEN s_suppke
       FROM part JOIN supplier ON p_partkey % 8 = s_suppkey % 8 CROSS JOIN (VALUES (0), (1)) AS v(pos) WHERE pos = 0 OR p_partkey % 3 = 1)""")
 def _(spark, sf):
     base, folder, check = (scratch_path(spark, n) for n in ("tables", "incoming", "check"))
-    write_files(lot_files(spark, sf, 8), folder.removeprefix("file:"), prefixes=("", "again-"))  # every content under two names
+    write_files(lot_files(spark, sf, 8), folder, prefixes=("", "again-"))  # every content under two names
     incremental_load(spark, folder, base, f"{check}-1", F.lit("2024-01-15 00:00:00")).awaitTermination()
     # A restart that has lost its checkpoint sees every file again and must add nothing.
     incremental_load(spark, folder, base, f"{check}-2", F.lit("2024-01-15 00:00:00")).awaitTermination()

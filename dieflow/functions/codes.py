@@ -78,7 +78,7 @@ def file_hash(content: Column) -> Column:
 
 def synthetic_wld_id(path: Column, record_index: Column) -> Column:
     """Repeatable 31-bit hash of the file name plus the record's place in it."""
-    return F.xxhash64(path).bitwiseAND(F.lit(0x7FFFFFFF)) + record_index
+    return F.conv(F.substring(F.md5(path), 1, 8), 16, 10).cast("bigint").bitwiseAND(F.lit(0x7FFFFFFF)) + record_index
 
 
 def epoch_ts(seconds: Column) -> Column:

@@ -1,16 +1,12 @@
 """Session defaults and the shared checkpoint folder."""
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a dimension small enough to send to every task; beyond it the join shuffles.
-BROADCAST_ROWS = 1_000_000
-
-
 def session(app: str = "dieflow", **conf: str) -> SparkSession:
     """A session with the settings this library is tuned for."""
     builder = (
@@ -27,23 +23,32 @@ def session(app: str = "dieflow", **conf: str) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, as the session names it.
+    """The shared folder for intermediate tables: the one the session names, else one in its warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
-    Only where nothing is set, and only in local mode, a folder of our own is used.
-    """
-    sc = spark.sparkContext
-    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if shared is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="dieflow-"))
-        shared = sc.getCheckpointDir()
-    return shared
+
+_scopes: list[list[str]] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a table this library writes and reads again."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Folders made inside are deleted at the end; nothing lazy that reads them may leave the block."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -56,7 +61,3 @@ def materialize(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; a larger side keeps its shuffle join."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

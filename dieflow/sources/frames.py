@@ -15,6 +15,7 @@ import gzip
 import hashlib
 import sys
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from dieflow.session import materialize
 from dieflow.sources.registry import layout_of, record_types
+from dieflow.sources.stores import StoreFile, check_schemes
 
 FRAME_SCHEMA = T.StructType(
     [
@@ -53,26 +55,23 @@ NOT_FAR = "first record is not FAR"
 TRUNCATED = "record is cut off"
 
 
-def open_path(path: str):
-    """Random-access file on any filesystem the executors can reach."""
-    from pyarrow import fs
-
-    local = path.removeprefix("file:") if path.startswith("file:/") else path
-    filesystem, name = fs.FileSystem.from_uri("/" + local.lstrip("/") if local.startswith("/") else local)
-    return filesystem.open_input_file(name)
+def open_path(path: str) -> StoreFile:
+    """Random-access file on any store that ``stores.SCHEMES`` names."""
+    return StoreFile(path)
 
 
 def _open(path: str, content: pa.Buffer | None):
-    """Binary stream over a file, unpacked by its suffix."""
+    """Binary stream over a file, unpacked by its suffix, and what it leaves out."""
     raw = open_path(path) if content is None else pa.BufferReader(content)
     if path.endswith(".gz"):
-        return gzip.GzipFile(fileobj=raw)
+        return gzip.GzipFile(fileobj=raw), None
     if path.endswith(".bz2"):
-        return bz2.BZ2File(raw)
+        return bz2.BZ2File(raw), None
     if path.endswith(".zip"):
         archive = zipfile.ZipFile(raw)
-        return archive.open(archive.namelist()[0])
-    return raw
+        first, *others = archive.namelist()
+        return archive.open(first), f"archive members not read: {', '.join(others)}" if others else None
+    return raw, None
 
 
 def gather(source: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,15 +180,18 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None) -> Iterator[pa.RecordBatch]:
-    """A broken file gives an error row, never a failed job."""
+    """A file with a broken format gives an error row; a store that cannot be read fails the task, which then runs again."""
     for batch in batches:
         content = batch.column("content")
         ranges = batch.select(["first", "stop", "base"]).to_pylist()
         for i, path in enumerate(batch.column("path").to_pylist()):
             try:
-                with _open(path, content[i].as_buffer() if content[i].is_valid else None) as stream:
+                stream, left_out = _open(path, content[i].as_buffer() if content[i].is_valid else None)
+                with stream:
                     yield from walk(path, stream, wanted, ranges[i]["first"] or 0, ranges[i]["stop"], ranges[i]["base"] or 0)
-            except (OSError, EOFError, zipfile.BadZipFile, ValueError) as problem:
+                if left_out:
+                    yield _error_batch(path, 1, None, None, left_out)
+            except (OSError, EOFError, zipfile.BadZipFile, zlib.error, ValueError) as problem:
                 yield _error_batch(path, 1, None, None, f"unreadable: {problem}")
 
 
@@ -279,9 +281,16 @@ def _proven_ranges(large: DataFrame, split_bytes: int) -> DataFrame:
     return parts.unionByName(rest).repartition(n, "path", "first")
 
 
+def check_paths(files: DataFrame) -> None:
+    """Raise where a file that tasks open themselves lies in a store without an opener."""
+    by_path = files.filter(F.col("content").isNull()).select(F.regexp_extract("path", r"^([^/:]+):", 1).alias("scheme")).distinct()
+    check_schemes(r.scheme or "file" for r in by_path.collect())
+
+
 def walk_units(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """What to walk: whole files, and ranges of large unpacked ones: path, content, first, stop, base."""
     nothing = F.lit(None).cast("bigint")
+    check_paths(files)
     whole = files.select("path", "content", nothing.alias("first"), nothing.alias("stop"), nothing.alias("base"))
     if "length" not in files.columns:
         return whole

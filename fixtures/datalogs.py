@@ -6,12 +6,12 @@ order and every third file is gzipped. ``lot_files``: few files with many tests
 from __future__ import annotations
 
 import gzip
-import os
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dieflow.sources.stores import opened
 from fixtures.encode import datalog
 
 COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
@@ -113,13 +113,15 @@ def lot_files(spark: SparkSession, sf_dir: str, n_files: int) -> DataFrame:
 
 def write_files(files: DataFrame, directory: str, prefixes: tuple[str, ...] = ("",)) -> None:
     """Store files in a folder, from the tasks that build them."""
-    os.makedirs(directory, exist_ok=True)
+    filesystem, folder = opened(directory)
+    filesystem.create_dir(folder, recursive=True)
 
     def save(batches):
+        filesystem, folder = opened(directory)
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 for prefix in prefixes:
-                    with open(f"{directory}/{prefix}{path}", "wb") as out:
+                    with filesystem.open_output_stream(f"{folder}/{prefix}{path}") as out:
                         out.write(content)
             yield pdf[["path"]]
 
