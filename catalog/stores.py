@@ -9,11 +9,12 @@ from catalog.registry import query
 from catalog.views import table, view, with_views
 from dieflow.operators import dedup, dims, landing, measurements as m
 from dieflow.plans import tables as t
+from dieflow.plans.landing import load_landing_files
 from dieflow.session import scratch_path
 from dieflow.sources import atdf, xtdf
 from dieflow.streaming.incremental import incremental_load
 from dieflow.streaming.views import landing_stream, start_view
-from fixtures.datalogs import lot_files, write_files
+from fixtures.datalogs import datalog_files, lot_files, write_files
 
 ATDF_NAMES = {"PTR": ["NAME", "SIZE", "TYPE"]}
 
@@ -176,6 +177,30 @@ def _(spark, sf):
     return _mpr_plain(_streamed(spark, sf, "measurements_mpr"))
 
 
+@query("P12_landing_chain", f"""
+SELECT 'PTR' AS kind, p_partkey AS test_num, p_name AS wtp_param_name, CAST(p_partkey % 4 AS INT) AS wp_pos_x, p_size % 8 AS wp_pos_y, CAST(p_partkey % 4 AS INT) AS test_flag,
+       CAST(printf('%.6f', {PRICE}) AS DOUBLE) AS first_result, CAST(NULL AS DOUBLE) AS second_result, 0 AS n_results, CAST(NULL AS INT) AS second_state, 0 AS n_states, p_type AS units, 0 AS segment
+FROM part
+UNION ALL SELECT 'MPR', p_partkey, p_name, CAST(p_partkey % 4 AS INT), p_size % 8, CAST(p_partkey % 4 AS INT), {PRICE}, CAST(p_size AS DOUBLE), 2, p_size % 16, 3, p_type, 1 FROM part""")
+def _(spark, sf):
+    base = scratch_path(spark, "tables")
+    t.create_tables(spark, base)
+    for _ in range(2):  # the second load finds nothing new
+        load_landing_files(spark, datalog_files(spark, sf).withColumn("length", F.length("content").cast("bigint")), base, F.lit("2024-01-15 00:00:00"))
+    names = t.read_table(spark, base, "parameter_info")
+    number = lambda c: F.size(c).cast("bigint")
+    ptr = t.read_table(spark, base, "measurements_ptr").withColumns({
+        "kind": F.lit("PTR"), "first_result": F.col("result"), "second_result": F.lit(None).cast("double"), "n_results": F.lit(0).cast("bigint"),
+        "second_state": F.lit(None).cast("int"), "n_states": F.lit(0).cast("bigint")})
+    results, states = F.col("test_results"), F.col("return_states")
+    mpr = t.read_table(spark, base, "measurements_mpr").withColumns({
+        "kind": F.lit("MPR"), "first_result": results[0], "second_result": results[1], "n_results": number(results),
+        "second_state": states[1].cast("int"), "n_states": number(states)})
+    columns = ["kind", "test_num", "wtp_param_name", "wp_pos_x", "wp_pos_y", F.col("test_flag").cast("int").alias("test_flag"), "first_result", "second_result",
+               "n_results", "second_state", "n_states", "units", "segment"]
+    return ptr.join(names, "wtp_id").select(*columns).unionByName(mpr.join(names, "wtp_id").select(*columns))
+
+
 @query("T3_incremental_load", f"""
 SELECT wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, wptm_value, test_flag,
        row_number() OVER (PARTITION BY lot, wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, test_flag ORDER BY s_suppkey, p_partkey, pos) - 1 AS segment
