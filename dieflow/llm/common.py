@@ -2,6 +2,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -14,6 +16,8 @@ from dieflow.session import scratch_path
 
 # Bits of a filter over 64-bit keys: 2 MB, however many keys there are.
 FILTER_BITS = 24
+# Rows sent to Python at once while an intermediate table is written.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1000
 
 
 class Scratch:
@@ -31,7 +35,8 @@ class Scratch:
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)
-        df.write.parquet(path)
+        with _small_batches(self.spark):
+            df.write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(out)] = (out, path)
         return out
@@ -43,6 +48,18 @@ class Scratch:
                 delete(self.spark, path)
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Plans made meanwhile send at most BATCH_ROWS rows at once; the session's own setting comes back."""
+    before = spark.conf.get(BATCH)
+    rows = int(before)
+    spark.conf.set(BATCH, str(min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH, before)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder through Spark's own file system layer."""
     jvm = spark._jvm

@@ -23,7 +23,7 @@ from dieflow.llm.common import Scratch, narrowed
 
 LENGTH, GRAM = 400, 256
 # Bytes handled together; longer texts are cut into parts that overlap by one string.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 PLACE_BITS = 24
 BASE = 0x9E3779B97F4A7C15
 
@@ -37,7 +37,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 @functools.lru_cache(maxsize=1)
 def _powers() -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse, modulo 2^64."""
-    n = 2 * CHUNK + 2 * LENGTH
+    n = CHUNK + 2 * LENGTH
     out = []
     for base in (BASE, pow(BASE, -1, 1 << 64)):
         p = np.full(n, base, np.uint64)
@@ -219,7 +219,10 @@ def repeated_strings(docs: DataFrame, id_column: str = "doc_id", text_column: st
         F.sha2("text", 256).alias("kept_sha256"), F.array().cast(spans).alias("spans"),
     )
     kind = docs.schema[id_column].dataType
-    return cut.unionByName(none).select(F.col("id").cast(kind).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    out = cut.unionByName(none).select(F.col("id").cast(kind).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
+    out = scratch.keep(out, "result")
+    scratch.drop(runs)
+    return out
 
 
 def _removed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
