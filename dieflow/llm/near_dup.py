@@ -26,8 +26,8 @@ FAR = 33
 # Members compared as one block.
 BLOCK = 256
 # Characters of text handled together.
-CHARS = 1 << 21
-CACHE = 300_000
+CHARS = 1 << 19
+CACHE = 150_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
