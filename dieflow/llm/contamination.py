@@ -17,7 +17,7 @@ WINDOW, LITERAL = 8, 5
 # An item is leaked where matched windows cover this share of it, or this many lie on one
 # alignment (6 windows of 8 are 13 tokens in a row).
 SHARE, RUN = 0.5, 6
-CHARS, CACHE = 1 << 21, 300_000
+CHARS, CACHE = 1 << 19, 150_000
 TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)?|[.!?:\n]")
 # Number words and units (English, German, French, Spanish).
 NUMBER_WORDS = frozenset("""one two three four five six seven eight nine ten eleven twelve twenty thirty forty fifty sixty seventy eighty ninety
