@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dieflow.llm import contamination, language, line_runs, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk
+from dieflow.llm import alignment, contamination, language, line_runs, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk
 from dieflow.llm.common import table
 from dieflow.session import scratch_path
 
@@ -128,3 +128,9 @@ def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = segmentations.sampled_segmentations(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), k=2)
     return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query("op13_tokenizer_alignment")
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.token_alignment(table(spark, sf_dir, "documents"), *paths)
