@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dieflow.llm import alignment, contamination, language, line_runs, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk
+from dieflow.llm import alignment, contamination, language, line_runs, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk, trie
 from dieflow.llm.common import table
 from dieflow.session import scratch_path
 
@@ -130,6 +130,40 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query("op12_prefix_trie", """
+WITH o AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS model, xor(4294967295, list_reduce(
+    list_concat([4294967295::BIGINT], flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: [ord(x)::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0]))),
+    lambda x, y: CASE WHEN y > 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END)) % 6 AS h
+  FROM (SELECT DISTINCT conv_id FROM o)
+), t AS (
+  SELECT ids.conv_id, i, role, text FROM ids JOIN o ON o.conv_id = model AND i <= h
+  UNION ALL SELECT conv_id, i, role, text FROM ids JOIN o USING (conv_id) WHERE i > h
+), s AS (
+  SELECT conv_id, list(sha256(concat(length(role), ':', role, text)) ORDER BY i) AS k, list(length(text) ORDER BY i) AS chars FROM t GROUP BY conv_id
+), m AS (
+  SELECT conv_id, d, coalesce(k[1 : d], []) AS k, coalesce(CASE WHEN d > 0 THEN chars[d] END, 0) AS chars, d = coalesce(len(k), 0) AS ends
+  FROM (SELECT conv_id, s.k, chars, unnest(range(0, coalesce(len(s.k), 0) + 1)) AS d FROM ids LEFT JOIN s USING (conv_id))
+), n AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) * (count(*) - 1) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM m GROUP BY d, k
+), c AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM n x WHERE x.d = n.d + 1 AND x.k[1 : n.d] = n.k) AS n_children
+  FROM n LEFT JOIN n p ON p.d = n.d - 1 AND n.k[1 : p.d] = p.k
+)
+SELECT v.conv_id, v.d::BIGINT AS depth, v.parent_conv_id, v.n_convs, v.n_children, count_if(u.n_children = 0)::BIGINT AS n_leaves,
+  sum(u.saved)::BIGINT AS saved_tokens, v.ends_sha256
+FROM c v JOIN c u ON u.d >= v.d AND u.k[1 : v.d] = v.k GROUP BY ALL""")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns, convs = trie.with_shared_heads(trie.ordered_turns(table(spark, sf_dir, "conversations")))
+    return trie.prefix_trie(turns, convs)
+
+
 @query("op13_tokenizer_alignment")
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
