@@ -7,7 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dieflow.llm import alignment, contamination, language, line_runs, near_dup, quality, records, repeats, segmentations, token_counts as tokens, topk, trie
+from dieflow.llm import (
+    alignment, contamination, language, line_runs, near_dup, quality, records, recurrent, repeats, segmentations, token_counts as tokens, topk, trie,
+)
 from dieflow.llm.common import table
 from dieflow.session import scratch_path
 
@@ -130,6 +132,12 @@ def op10_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+@query("op11_recurrent_scores")
+def op11_recurrent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    return recurrent.recurrent_scores(table(spark, sf_dir, "documents"), ~held_out)
+
+
 @query("op12_prefix_trie", """
 WITH o AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
