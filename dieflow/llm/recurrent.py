@@ -12,7 +12,6 @@ documents, and the parameters are averaged by Spark. Every training document is
 from __future__ import annotations
 
 import heapq
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -244,10 +243,10 @@ def score(net: Net, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
 # --- the corpus --------------------------------------------------------------------------
 
 _CUT = pa.schema(
-    [("block", pa.int64()), ("docs", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("at", pa.binary()),
-     ("words", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))]
+    [("block", pa.int64()), ("docs", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("sizes", pa.binary()), ("numbers", pa.binary()),
+     ("once", pa.binary()), ("words", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))]
 )
-_CUT_SQL = "block bigint, docs array<bigint>, held array<boolean>, sizes binary, at binary, words array<string>, n array<bigint>"
+_CUT_SQL = "block bigint, docs array<bigint>, held array<boolean>, sizes binary, numbers binary, once binary, words array<string>, n array<bigint>"
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +281,9 @@ class Words:
         seen = [a for a, held in zip(self.at, self.held) if not held]
         n = np.bincount(np.concatenate(seen or [np.zeros(0, np.uint32)]), minlength=len(self.numbers))
         sizes = np.array([len(a) for a in self.at], "<u4").tobytes()
-        values = [number, self.docs, self.held, sizes, np.concatenate(self.at).astype("<u4").tobytes(), list(self.numbers), n]
+        # All low bytes first, then the next ones: high bytes are mostly zero and pack well.
+        numbers = np.concatenate(self.at).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+        values = [number, self.docs, self.held, sizes, numbers, np.packbits(n == 1).tobytes(), list(self.numbers), n]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _CUT)], schema=_CUT)
 
 
@@ -295,7 +296,7 @@ class Corpus:
             F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if((F.col("c") == 1) & (F.col("word") != "")), F.count_if(F.col("c") == 2),
         ).first()
         frequent = seen.filter("c > 1 and word != ''").orderBy(F.desc("c"), "word").limit(SIZE).collect()
-        self.top = {w.encode(): i + 1 for i, (w, _) in enumerate(frequent)}
+        self.top = {w: i + 1 for i, (w, _) in enumerate(frequent)}
         other = seen.filter("c > 1 and word != ''")
         if frequent:
             word, c = frequent[-1]
@@ -311,18 +312,20 @@ class Corpus:
         unseen = n1 / (n1 + 2 * n2 + 1) if n1 else 1.0
         self.once, self.unseen = np.log10((1 - unseen) / n1) if n1 else 0.0, np.log10(unseen)
 
-    def kinds(self, words: list[str], c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of words with counts c: kind, log10 probability inside the kind, log10 of the add-0.1 estimate."""
-        raw = [w.encode() for w in words]
-        kind = np.fromiter((self.top.get(w, 0) for w in raw), np.int64, len(raw))
-        other = np.flatnonzero((kind == 0) & (c > 1) & np.fromiter(map(bool, raw), bool, len(raw)))
-        kind[other] = [SIZE + 1 + zlib.crc32(words[i][-2:].encode()) % ENDINGS for i in other]
-        rare = (c < 2) & np.fromiter(map(bool, raw), bool, len(raw))
-        kind[rare] = RARE
-        inside = np.zeros(len(raw))
+    def kinds(self, counts: DataFrame) -> DataFrame:
+        """Known words with their counts and kinds."""
+        top = counts.sparkSession.createDataFrame(list(self.top.items()), "word string, place int")
+        ending = SIZE + 1 + F.crc32(F.right("word", F.lit(2))) % ENDINGS
+        kind = F.when(F.col("word") == "", 0).when(F.col("place").isNotNull(), F.col("place")).when(F.col("c") > 1, ending).otherwise(RARE)
+        # At most SIZE rows.
+        return counts.filter("c > 0").join(F.broadcast(top), "word", "left").select("word", "c", kind.cast("int").alias("kind"))
+
+    def logs(self, kind: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words: log10 probability inside the kind, log10 of the add-0.1 estimate."""
+        other = (kind > SIZE) & (kind != RARE)
+        inside = np.where(kind == RARE, np.where(c == 1, self.once, self.unseen), 0.0)
         inside[other] = np.log10(c[other] / self.counts[kind[other]])
-        inside[rare] = np.where(c[rare] == 1, self.once, self.unseen)
-        return kind, inside, np.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1)))
+        return inside, np.log10((c + 0.1) / (self.n + 0.1 * (self.v + 1)))
 
 
 _DOC = pa.struct([
@@ -338,11 +341,15 @@ _CODED_SQL = (
 
 
 def _coded(block: pa.Table, counts: pa.Table, corpus: Corpus) -> pa.Table:
-    words = block.column("words")[0].as_py()
-    c = np.zeros(len(words), np.int64)
-    c[counts.column("at").to_numpy()] = counts.column("c").to_numpy()
-    kind, inside, base = corpus.kinds(words, c)
-    sizes, at = (np.frombuffer(block.column(x)[0].as_py(), "<u4").astype(np.int64) for x in ("sizes", "at"))
+    sizes = np.frombuffer(block.column("sizes")[0].as_py(), "<u4").astype(np.int64)
+    at = np.frombuffer(block.column("numbers")[0].as_py(), np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0]
+    # A word without a row is known from this block alone, where it stands once, or not at all.
+    c = np.unpackbits(np.frombuffer(block.column("once")[0].as_py(), np.uint8)).astype(np.int64)
+    kind = np.full(len(c), RARE)
+    sent = counts.column("at").to_numpy()
+    c[sent], kind[sent] = counts.column("c").to_numpy(), counts.column("kind").to_numpy()
+    kind[0] = 0
+    inside, base = corpus.logs(kind, c)
     ends = np.cumsum(sizes)
     begin = ends - sizes
     sums = [np.add.reduceat(x[at], begin) for x in (base, inside, (c > 0).astype(np.int64))]
@@ -398,6 +405,20 @@ def _round(coded: DataFrame, r: int, state: np.ndarray) -> np.ndarray:
     return whole[:-1] / whole[-1]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
+    """Blocks scored together, so that a very long document runs beside enough others."""
+    held, size = [], 0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            held.append(batch.slice(i, 1))
+            size += held[-1].nbytes
+            if size >= BLOCK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def recurrent_scores(docs: DataFrame, learn: Column, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Log10 probability of every whole text: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -416,10 +437,11 @@ def recurrent_scores(docs: DataFrame, learn: Column, id_column: str = "doc_id",
     rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_column).alias("text"))
     blocks = scratch.keep(rows.mapInArrow(_blocks, _CUT_SQL), "blocks")
     words = blocks.select("block", F.posexplode(F.arrays_zip("words", "n")).alias("at", "x")).select("block", "at", "x.words", "x.n")
-    counts = scratch.keep(words.groupBy(F.col("words").alias("word")).agg(F.sum("n").alias("c")), "counts")
+    words = words.withColumnRenamed("words", "word")
+    counts = scratch.keep(words.filter("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     corpus = Corpus(counts)
-    seen = words.join(counts.filter("c > 0").withColumnRenamed("word", "words"), "words").select(F.col("block").alias("name"), "at", "c")
-    texts = blocks.drop("n")
+    seen = words.join(corpus.kinds(counts), "word").filter("c > 1 or n = 0").select(F.col("block").alias("name"), "at", "c", "kind")
+    texts = blocks.drop("words", "n")
     coded = texts.groupBy("block").cogroup(seen.groupBy("name")).applyInArrow(lambda a, b: _coded(a, b, corpus), _CODED_SQL)
     coded = scratch.keep(coded, "coded")
     scratch.drop(blocks, counts)
@@ -431,17 +453,17 @@ def recurrent_scores(docs: DataFrame, learn: Column, id_column: str = "doc_id",
         learned = docs.sparkSession.sparkContext.broadcast(state[:LENGTH].astype(np.float32))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                docs = dict(zip(_DOC.names, batch.column("docs")[i].values.flatten()))
-                total = docs["base_score"]
-                if learned is not None:
-                    sizes, kinds = (b"".join(batch.column(f"{c}{r}")[i].as_py() for r in range(ROUNDS + 1)) for c in ("sizes", "kinds"))
-                    found = score(Net(learned.value), np.frombuffer(kinds, "<u2"), np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64)))
-                    total = pa.array(found / LN10 + docs["inside"].to_numpy(zero_copy_only=False))
-                trained = pa.repeat(pa.scalar(corpus.n, pa.int64()), len(total))
-                values = [*(docs[c] for c in ("doc_id", "held_out", "n_tokens", "n_known")), trained, docs["base_score"], total]
-                yield pa.RecordBatch.from_arrays(values, _SCORED.split(" "))
+        for rows in _gathered(batches):
+            docs = pa.concat_arrays([r.column("docs")[0].values for r in rows]).flatten()
+            docs = dict(zip(_DOC.names, docs))
+            total = docs["base_score"]
+            if learned is not None:
+                sizes, kinds = (b"".join(r.column(f"{c}{k}")[0].as_py() for r in rows for k in range(ROUNDS + 1)) for c in ("sizes", "kinds"))
+                found = score(Net(learned.value), np.frombuffer(kinds, "<u2"), np.cumsum(np.frombuffer(sizes, "<u4").astype(np.int64)))
+                total = pa.array(found / LN10 + docs["inside"].to_numpy(zero_copy_only=False))
+            trained = pa.repeat(pa.scalar(corpus.n, pa.int64()), len(total))
+            values = [*(docs[c] for c in ("doc_id", "held_out", "n_tokens", "n_known")), trained, docs["base_score"], total]
+            yield pa.RecordBatch.from_arrays(values, _SCORED.split(" "))
 
     kinds = dict(zip(_SCORED.split(" "), ("bigint", "boolean", "bigint", "bigint", "bigint", "double", "double")))
     return coded.mapInArrow(scored, ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
