@@ -1,32 +1,27 @@
 """Walking the record chain of datalog files.
 
-The walk is spread over files, and over byte ranges of large ones. It works on bounded
-blocks, touches only the record headers in Python and hands bodies on as Arrow slices.
-
-A range of a large file does not know where its first record starts. A first pass guesses
-it from a run of plausible headers and follows the chain to the range's end. When every
-range ends exactly where the next one began, all guesses are proven right, because the
-first range starts at the file's start; otherwise that file is walked in one piece.
+The walk is spread over files, and over byte ranges of large ones (``ranges``). It works on
+bounded blocks, touches only the record headers in Python and hands bodies on as Arrow slices.
 """
 from __future__ import annotations
 
 import bz2
+import functools
 import gzip
 import hashlib
-import sys
 import zipfile
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dieflow.session import materialize
-from dieflow.sources.registry import layout_of, record_types
-from dieflow.sources.stores import StoreFile, check_schemes
+from dieflow.sources.ranges import SPLIT_BYTES, byte_order, is_far, range_units
+from dieflow.sources.registry import layout_of
+from dieflow.sources.stores import StoreFile
 
 FRAME_SCHEMA = T.StructType(
     [
@@ -50,7 +45,6 @@ _ARROW = pa.schema(
 )
 _CHUNK = 16 << 20
 _BATCH_ROWS = 20_000
-_BIG, _LITTLE = 1, 2  # CPU_TYPE values of the first record; any other means host order
 NOT_FAR = "first record is not FAR"
 TRUNCATED = "record is cut off"
 
@@ -91,11 +85,6 @@ def _error_batch(path: str, index: int, typ: int | None, sub: int | None, messag
     return pa.RecordBatch.from_pylist([{"path": path, "record_index": index, "rec_typ": typ, "rec_sub": sub, "error": message}], _ARROW)
 
 
-def _byte_order(head: bytes) -> bool:
-    """Is the file little endian?"""
-    return {_BIG: False, _LITTLE: True}.get(head[4], sys.byteorder == "little")
-
-
 def _blocks(stream, little: bool, size: int | None = None) -> Iterator[tuple[bytes, list[int], int]]:
     """Bounded blocks of a stream with the record starts in each and where the last one ends.
 
@@ -127,10 +116,10 @@ def walk(path: str, stream, wanted: set[int] | None, first: int = 0, stop: int |
     ``wanted`` holds typ * 256 + sub.
     """
     head = bytes(stream.read(6))
-    if len(head) < 6 or head[2] != 0 or head[3] != 10:
+    if not is_far(head):
         yield _error_batch(path, 1, *((head[2], head[3]) if len(head) >= 4 else (None, None)), NOT_FAR)
         return
-    little, version, index = _byte_order(head), head[5], base
+    little, version, index = byte_order(head), head[5], base
     stream.seek(first)
     for block, starts, end in _blocks(stream, little, None if stop is None else stop - first):
         if starts:
@@ -195,111 +184,25 @@ def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None) ->
                 yield _error_batch(path, 1, None, None, f"unreadable: {problem}")
 
 
-# --- ranges of large files ---------------------------------------------------------------
+# --- what to walk ------------------------------------------------------------------------
 
-# Bytes per range of a large file, and plausible headers that make a guess.
-SPLIT_BYTES = 256 << 20
-_RUN = 64
-_LONGEST = 65535 + 4
 _PACKED = (".gz", ".bz2", ".zip")
-_SCOUT = "path string, range bigint, first bigint, stop bigint, n bigint"
-
-
-def guess_start(window: bytes, little: bool, known: set[int], at_end: bool) -> int | None:
-    """Smallest offset from which a run of known headers follows; None without one."""
-    low, high = (0, 1) if little else (1, 0)
-    data = np.frombuffer(window, np.uint8)
-    if len(data) < 4:
-        return 0 if at_end and len(data) == 0 else None
-    kinds = data[2:-1].astype(np.int32) * 256 + data[3:]
-    for start in np.flatnonzero(np.isin(kinds[:_LONGEST], list(known))).tolist():
-        pos, run = start, 0
-        while run < _RUN and pos + 4 <= len(window) and (window[pos + 2] << 8 | window[pos + 3]) in known:
-            pos += 4 + (window[pos + low] | window[pos + high] << 8)
-            run += 1
-        if run == _RUN or (pos == len(window) if at_end else pos + 4 > len(window)):
-            return start
-    return len(window) if at_end and len(window) < _LONGEST else None
-
-
-def _scout(batches: Iterator[pa.RecordBatch], known: set[int]) -> Iterator[pa.RecordBatch]:
-    """Per range: where its first record starts, where the first one after it starts, and records in it."""
-    for batch in batches:
-        rows = []
-        for r in batch.to_pylist():
-            first, stop, n = None, None, 0
-            with open_path(r["path"]) as stream:
-                little = _byte_order(bytes(stream.read(6)).ljust(6, b"\0"))
-                if r["begin"] == 0:
-                    first = 0
-                else:
-                    stream.seek(r["begin"])
-                    window = bytes(stream.read(_LONGEST + _RUN * 512))
-                    found = guess_start(window, little, known, r["begin"] + len(window) >= r["length"])
-                    first = None if found is None else r["begin"] + found
-                if first is not None:
-                    stream.seek(first)
-                    stop = first
-                    for block, starts, end in _blocks(stream, little):
-                        inside = int(np.searchsorted(starts, r["end"] - stop))
-                        n += inside
-                        if inside < len(starts):
-                            stop += starts[inside]
-                            break
-                        stop += end
-                        if stop >= r["end"]:
-                            break
-            rows.append({"path": r["path"], "range": r["range"], "first": first, "stop": stop, "n": n})
-        yield pa.RecordBatch.from_pylist(rows, pa.schema([("path", pa.string()), *[(c, pa.int64()) for c in ("range", "first", "stop", "n")]]))
-
-
-def _proven_ranges(large: DataFrame, split_bytes: int) -> DataFrame:
-    """Ranges of large files whose chain is proven: path, first, stop, base; files without proof as one row."""
-    known = {layout_of(t).typ * 256 + layout_of(t).sub for t in record_types()}
-    n = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranges = (
-        large.select("path", "length", F.explode(F.sequence(F.lit(0), F.floor((F.col("length") - 1) / split_bytes))).alias("range"))
-        .withColumn("begin", F.col("range") * split_bytes)
-        .withColumn("end", F.least(F.col("begin") + split_bytes, F.col("length")))
-        .repartition(n, "path", "range")
-    )
-    # One row per range, used several times and costly to make.
-    scouted = materialize(ranges.mapInArrow(lambda it: _scout(it, known), _SCOUT))
-    in_order = Window.partitionBy("path").orderBy("range")
-    joined = scouted.withColumns(
-        {
-            "fits": F.coalesce(F.col("first") == F.coalesce(F.lag("stop").over(in_order), F.lit(0)), F.lit(False)),
-            "base": F.sum("n").over(in_order) - F.col("n"),
-            "last": F.col("range") == F.max("range").over(Window.partitionBy("path")),
-        }
-    ).withColumn("proven", F.min("fits").over(Window.partitionBy("path")))
-    # The last range runs to the end of the file, so a cut-off record is seen.
-    parts = joined.filter("proven").select("path", "first", F.when(~F.col("last"), F.col("stop")).alias("stop"), "base")
-    rest = joined.filter(~F.col("proven") & (F.col("range") == 0)).select(
-        "path", F.lit(0).cast("bigint").alias("first"), F.lit(None).cast("bigint").alias("stop"), F.lit(0).cast("bigint").alias("base")
-    )
-    return parts.unionByName(rest).repartition(n, "path", "first")
-
-
-def check_paths(files: DataFrame) -> None:
-    """Raise where a file that tasks open themselves lies in a store without an opener."""
-    by_path = files.filter(F.col("content").isNull()).select(F.regexp_extract("path", r"^([^/:]+):", 1).alias("scheme")).distinct()
-    check_schemes(r.scheme or "file" for r in by_path.collect())
 
 
 def walk_units(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """What to walk: whole files, and ranges of large unpacked ones: path, content, first, stop, base."""
     nothing = F.lit(None).cast("bigint")
-    check_paths(files)
     whole = files.select("path", "content", nothing.alias("first"), nothing.alias("stop"), nothing.alias("base"))
     if "length" not in files.columns:
         return whole
-    packed = F.endswith(F.col("path"), F.lit(_PACKED[0])) | F.endswith(F.col("path"), F.lit(_PACKED[1])) | F.endswith(F.col("path"), F.lit(_PACKED[2]))
-    is_large = F.col("content").isNull() & (F.col("length") > split_bytes) & ~packed
-    large = files.filter(is_large).select("path", "length")
+    packed = functools.reduce(lambda a, b: a | b, [F.endswith(F.col("path"), F.lit(x)) for x in _PACKED])
+    # Contents of files that are not large are not looked at here.
+    listed = files.filter((F.col("length") > split_bytes) & ~packed)
+    large = listed.filter(F.col("content").isNull()).select("path", "length")
     if large.isEmpty():
         return whole
-    ranges = _proven_ranges(large, split_bytes).withColumn("content", F.lit(None).cast("binary"))
+    is_large = F.col("content").isNull() & (F.col("length") > split_bytes) & ~packed
+    ranges = range_units(large, split_bytes, open_path).withColumn("content", F.lit(None).cast("binary"))
     rest = files.filter(~is_large).select("path", "content", nothing.alias("first"), nothing.alias("stop"), nothing.alias("base"))
     return rest.unionByName(ranges)
 

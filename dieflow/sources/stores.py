@@ -15,17 +15,15 @@ def scheme_of(path: str) -> str:
     return head if found and "/" not in head else "file"
 
 
-def check_schemes(schemes) -> None:
-    """Raise for schemes no opener is known for, before a job starts."""
-    unknown = sorted(set(schemes) - set(SCHEMES))
-    if unknown:
-        raise ValueError(f"no opener for {', '.join(unknown)}: add the scheme to dieflow.sources.stores.SCHEMES")
+class NoOpener(Exception):
+    """A path of a store no opener is known for; fails the job, whatever the file's size."""
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
     """Filesystem and path on it."""
     scheme = scheme_of(path)
-    check_schemes([scheme])
+    if scheme not in SCHEMES:
+        raise NoOpener(f"no opener for {scheme}: add the scheme to dieflow.sources.stores.SCHEMES")
     rest = path.partition(":")[2] if path.startswith(f"{scheme}:") else path
     if scheme == "file":
         return fs.LocalFileSystem(), "/" + rest.lstrip("/") if path.startswith("file:") else rest

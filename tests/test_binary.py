@@ -2,14 +2,19 @@
 import bz2
 import gzip
 import io
+import random
+import struct
 import zipfile
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from dieflow.operators import records as r
 from dieflow.sources import decode as d
-from dieflow.sources import frames as fr
+from dieflow.sources import frames as fr, ranges, stores
 from dieflow.sources.files import file_manifest, inline_small, stdf_files
 from dieflow.sources.registry import layout_of, record_types, register_record_type, unregister_record_type
 from fixtures.encode import body, datalog, record
@@ -98,11 +103,17 @@ def test_large_files_are_streamed_by_path(spark, tmp_path):
     assert inline_small(whole, 0).filter("content is null").count() == 2
 
 
+def starts_of(data, little=True):
+    out, pos = [], 0
+    while pos + 4 <= len(data):
+        out.append(pos)
+        pos += 4 + int.from_bytes(data[pos:pos + 2], "little" if little else "big")
+    return out
+
+
 @pytest.mark.parametrize("split", [100, 1000, 50_000])
 @pytest.mark.parametrize("little", [True, False])
 def test_ranges_of_a_large_file_equal_the_whole(spark, tmp_path, split, little):
-    import random
-
     rng = random.Random(split)
     records = [("PIR", {})] + [("PTR", {"TEST_NUM": i, "RESULT": i / 4, "TEST_TXT": "t" * rng.randrange(200)}) for i in range(1500)]
     tricky = [("GDR", {"FLD_CNT": 1, "GEN_DATA": [("Cn", "\x00\x01\x0f\x0a" * 50)]}) if i % 3 else r for i, r in enumerate(records)]
@@ -117,20 +128,78 @@ def test_ranges_of_a_large_file_equal_the_whole(spark, tmp_path, split, little):
     found = stdf_files(spark, str(tmp_path), inline_bytes=50)
     columns = ["path", "record_index", "rec_typ", "rec_sub", "body", "error"]
     whole, ranged = fr.stdf_frames(found).select(*columns), fr.stdf_frames(found, split_bytes=split).select(*columns)
-    assert fr.walk_units(found, split).filter("path like '%good%'").count() == -(-len(data) // split)
+    # One unit for every range in which a record starts.
+    assert fr.walk_units(found, split).filter("path like '%good%'").count() == len({p // split for p in starts_of(data, little)})
     a, b = [sorted(df.collect(), key=lambda r: (r.path, r.record_index)) for df in (whole, ranged)]
     assert a == b and len(a) > 4500
 
 
-def test_a_wrong_guess_is_found_out(spark, tmp_path, monkeypatch):
-    """Bodies that look like chains of records mislead the guess; the result stays right."""
-    inner = b"".join(record("PIR", {}) for _ in range(40))
-    data = datalog([("DTR", {"TEXT_DAT": inner[:250].decode("latin-1")}) for _ in range(300)])
+def with_vendor_records(n, rng, little=True):
+    """A record of a type nobody registered after every ten, with bodies that look like records."""
+    mark = "<" if little else ">"
+    out = [datalog([], little)]
+    for i in range(n):
+        out.append(record("PTR", {"TEST_NUM": i, "RESULT": i / 4, "TEST_TXT": "t" * rng.randrange(60)}, little))
+        if i % 10 == 9:
+            inner = rng.randbytes(rng.randrange(300)) if i % 20 == 9 else record("PIR", {}, little) * 40
+            out.append(struct.pack(mark + "HBB", len(inner), 200, 201) + inner)
+    return b"".join(out)
+
+
+def test_a_file_with_vendor_records_is_walked_in_ranges(spark, tmp_path):
+    data = with_vendor_records(120_000, random.Random(1))
+    # Long enough that later ranges look only at what lies shortly before them.
+    assert len(data) > 2 * ranges.LEADS[0]
     (tmp_path / "a.stdf").write_bytes(data)
-    monkeypatch.setattr(fr, "_RUN", 5)
     found = stdf_files(spark, str(tmp_path), inline_bytes=50)
-    rows = fr.stdf_frames(found, split_bytes=1111).select("record_index", "body").collect()
-    assert sorted(r.record_index for r in rows) == list(range(1, 302))
+    units = fr.walk_units(found, 1 << 20).collect()
+    starts = starts_of(data)
+    assert len(units) == (len(data) - 1 >> 20) + 1
+    for u in units:
+        assert starts[u.base] == u.first
+    columns = ["record_index", "rec_typ", "rec_sub", "body", "error"]
+    whole, ranged = fr.stdf_frames(found).select(*columns), fr.stdf_frames(found, split_bytes=1 << 20).select(*columns)
+    same = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")), F.max("record_index")).first()
+    assert same(whole) == same(ranged) and same(whole)[0] == len(starts)
+
+
+@pytest.mark.parametrize("little", [True, False])
+def test_every_range_knows_its_true_entry(tmp_path, little, monkeypatch):
+    """Whatever a range starts in, the true walk is among those left, and maps lead from the file's start to its end."""
+    monkeypatch.setattr(ranges, "LONGEST", 700)
+    monkeypatch.setattr(ranges, "STRETCH", 1024)
+    monkeypatch.setattr(ranges, "CHUNK", 2048)
+    data = with_vendor_records(4000, random.Random(2), little)
+    runs = datalog([("DTR", {"TEXT_DAT": chr(1) * 255})] * 900 + [("DTR", {"TEXT_DAT": chr(0) * 250})] * 900, little)
+    for name, content in (("a", data), ("cut", data[:-3]), ("runs", runs), ("text", b"no datalog " * 900)):
+        (tmp_path / name).write_bytes(content)
+        starts = starts_of(content, little)
+        for split, lead in ((700, 30_000), (5000, 20_000), (60_000, 70_000)):
+            cuts = range(0, len(content), split)
+            batch = pa.RecordBatch.from_pylist([
+                {"path": str(tmp_path / name), "range": i, "begin": at, "end": min(at + split, len(content)), "length": len(content)} for i, at in enumerate(cuts)
+            ])
+            maps = pa.Table.from_batches(ranges._scout(iter([batch]), stores.StoreFile, (lead,))).to_pandas()
+            units = ranges._compose(maps).to_dict("records")
+            assert units[0]["first"] == 0 and units[0]["base"] == 0 and pd.isna(units[-1]["stop"])
+            assert all(u["stop"] == v["first"] for u, v in zip(units, units[1:]))
+            if name == "text":
+                assert len(units) == 1
+            else:
+                assert all(starts[u["base"]] == u["first"] for u in units)
+                if name == "a":
+                    assert len(units) == len({p // split for p in starts})
+
+
+def test_walks_that_never_meet_leave_one_part(tmp_path):
+    """Bodies of one repeated byte keep all walks apart; the rest of the file is then one part."""
+    data = datalog([("DTR", {"TEXT_DAT": chr(255) * 255})] * 3000)
+    (tmp_path / "a").write_bytes(data)
+    rows = [{"path": str(tmp_path / "a"), "range": i, "begin": i * 100_000, "end": min((i + 1) * 100_000, len(data)), "length": len(data)} for i in range(len(data) // 100_000 + 1)]
+    maps = pa.Table.from_batches(ranges._scout(iter([pa.RecordBatch.from_pylist(rows)]), stores.StoreFile, (300,))).to_pandas()
+    units = ranges._compose(maps).to_dict("records")
+    starts = starts_of(data)
+    assert all(starts[u["base"]] == u["first"] for u in units) and pd.isna(units[-1]["stop"])
 
 
 _TEXT = st.text(st.characters(min_codepoint=32, max_codepoint=255), max_size=20)
