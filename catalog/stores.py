@@ -59,7 +59,7 @@ def _(spark, sf):
 @query("S13_create_tables", """
 SELECT 'device_mapping' AS name, (SELECT count(*) FROM supplier) AS n_rows UNION ALL SELECT 'parameter_info', 0 UNION ALL SELECT 'measurements', 0
 UNION ALL SELECT 'device_info', 0 UNION ALL SELECT 'measurements_landing', (SELECT count(*) FROM events) UNION ALL SELECT 'measurements_ptr', 0
-UNION ALL SELECT 'measurements_mpr', 0 UNION ALL SELECT 'load_log', 0""")
+UNION ALL SELECT 'measurements_mpr', 0 UNION ALL SELECT 'file_ledger', 0 UNION ALL SELECT 'load_log', 0""")
 def _(spark, sf):
     base = scratch_path(spark, "tables")
     names = t.create_tables(spark, base)

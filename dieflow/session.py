@@ -3,9 +3,10 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
 
 def session(app: str = "dieflow", **conf: str) -> SparkSession:
     """A session with the settings this library is tuned for."""
@@ -28,25 +29,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
 
 
-_scopes: list[list[str]] = []
+# The folders of the innermost scope of this thread: loads that run side by side do not see each other's.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for a table this library writes and reads again."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    if (made := _scope.get()) is not None:
+        made.append(path)
     return path
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession):
     """Folders made inside are deleted at the end; nothing lazy that reads them may leave the block."""
-    _scopes.append([])
+    made: list[str] = []
+    outer = _scope.set(made)
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scope.reset(outer)
+        for path in made:
             target = spark._jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from dieflow.sources.frames import binary_array, frame_batches, gather, record_codes, walk_units
+from dieflow.sources.frames import HASH, binary_array, frame_batches, gather, record_codes, walk_units
 from dieflow.sources.registry import Field, Layout, layout_of
 
 _NUMPY = {
@@ -266,12 +266,18 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return df.fillna(0, subset=numeric).fillna("", subset=text)
 
 
-def read_records(files: DataFrame, fields_by_type: dict[str, list[str]]) -> DataFrame:
+# The type of the row that holds a file's hash.
+FILE = "FILE"
+
+
+def read_records(files: DataFrame, fields_by_type: dict[str, list[str]], hashes: bool = False) -> DataFrame:
     """Walk and decode in one pass over the files.
 
     One row per record of the chosen types: path, record_index, record_type and
     the union of the chosen fields, NULL where a type has no such field. Fields of
     the same name must have the same type. Raw bodies never leave the Python task.
+    ``hashes`` adds a column ``file_hash`` and a row of type FILE for every file that is walked in
+    one piece, hashed in the same read.
     """
     layouts = {t: layout_of(t) for t in fields_by_type}
     merged: dict[str, T.StructField] = {}
@@ -280,11 +286,13 @@ def read_records(files: DataFrame, fields_by_type: dict[str, list[str]]) -> Data
             if merged.setdefault(f.name, f).dataType != f.dataType:
                 raise ValueError(f"{f.name} has different types in {list(fields_by_type)}")
     schema = T.StructType(_KEYS + [T.StructField("record_type", T.StringType()), *merged.values(), T.StructField("error", T.StringType())])
+    if hashes:
+        schema = schema.add("file_hash", T.StringType())
     arrow, codes = _arrow_schema(schema), record_codes(fields_by_type)
     chosen = {t: set(fields) for t, fields in fields_by_type.items()}
 
     def run(batches):
-        for batch in frame_batches(batches, codes):
+        for batch in frame_batches(batches, codes, hashes):
             yield from _typed_batches(batch, layouts, chosen, arrow)
 
     return walk_units(files).mapInArrow(run, schema)
@@ -298,6 +306,10 @@ def _typed_batches(batch: pa.RecordBatch, layouts: dict[str, Layout], chosen: di
     if broken.num_rows:
         yield shaped({n: broken.column(n) for n in ("path", "record_index", "error")}, broken.num_rows)
     good = batch.filter(batch.column("error").is_null())
+    if "file_hash" in schema.names:
+        files = good.filter(pa.compute.equal(good.column("rec_typ"), HASH))
+        if files.num_rows:
+            yield shaped({"path": files.column("path"), "record_type": pa.repeat(pa.scalar(FILE), files.num_rows), "file_hash": files.column("body").cast(pa.string())}, files.num_rows)
     kinds = good.column("rec_typ").to_numpy(zero_copy_only=False).astype(np.int32) * 256 + good.column("rec_sub").to_numpy(zero_copy_only=False)
     for name, layout in layouts.items():
         part = good.filter(pa.array(kinds == layout.typ * 256 + layout.sub))

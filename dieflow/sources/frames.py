@@ -44,6 +44,10 @@ _ARROW = pa.schema(
     ]
 )
 _CHUNK = 16 << 20
+# Files up to this size are held whole while they are hashed and walked.
+_WHOLE = 64 << 20
+# Type and subtype of the frame that holds a file's hash; no record has them.
+HASH = -1
 _BATCH_ROWS = 20_000
 NOT_FAR = "first record is not FAR"
 TRUNCATED = "record is cut off"
@@ -151,9 +155,12 @@ def _frames(path, data, starts, end, index, little, version, wanted) -> Iterator
     )
 
 
-def frame_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None) -> Iterator[pa.RecordBatch]:
-    """(path, content) batches to frame batches; the frames of small files share a batch."""
-    return _merged(_file_batches(batches, wanted))
+def frame_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, hashes: bool = False) -> Iterator[pa.RecordBatch]:
+    """(path, content) batches to frame batches; the frames of small files share a batch.
+
+    ``hashes`` adds a frame of type HASH per whole file, its body the MD5 of the file's bytes.
+    """
+    return _merged(_file_batches(batches, wanted, hashes))
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,14 +175,32 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None) -> Iterator[pa.RecordBatch]:
+def _hash_batch(path: str, content: pa.Buffer | None) -> pa.RecordBatch:
+    digest = hashlib.md5()
+    if content is not None:
+        digest.update(content)
+    else:
+        with open_path(path) as stream:
+            while block := stream.read(_CHUNK):
+                digest.update(block)
+    return pa.RecordBatch.from_pylist([{"path": path, "record_index": 0, "rec_typ": HASH, "rec_sub": HASH, "body": digest.hexdigest().encode()}], _ARROW)
+
+
+def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, hashes: bool = False) -> Iterator[pa.RecordBatch]:
     """A file with a broken format gives an error row; a store that cannot be read fails the task, which then runs again."""
     for batch in batches:
         content = batch.column("content")
         ranges = batch.select(["first", "stop", "base"]).to_pylist()
         for i, path in enumerate(batch.column("path").to_pylist()):
+            data = content[i].as_buffer() if content[i].is_valid else None
+            if hashes and ranges[i]["first"] is None:
+                if data is None:
+                    # A small file is read once, for its hash and for its records.
+                    with open_path(path) as stream:
+                        data = pa.py_buffer(stream.read()) if stream.size() <= _WHOLE else None
+                yield _hash_batch(path, data)
             try:
-                stream, left_out = _open(path, content[i].as_buffer() if content[i].is_valid else None)
+                stream, left_out = _open(path, data)
                 with stream:
                     yield from walk(path, stream, wanted, ranges[i]["first"] or 0, ranges[i]["stop"], ranges[i]["base"] or 0)
                 if left_out:
@@ -227,13 +252,7 @@ def stdf_frames(files: DataFrame, types: list[str] | None = None, split_bytes: i
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        digests = []
-        for path in batch.column("path").to_pylist():
-            digest = hashlib.md5()
-            with open_path(path) as stream:
-                while block := stream.read(_CHUNK):
-                    digest.update(block)
-            digests.append(digest.hexdigest())
+        digests = [_hash_batch(path, None).column("body")[0].as_py().decode() for path in batch.column("path").to_pylist()]
         yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("length"), pa.array(digests, pa.string())], ["path", "length", "file_hash"])
 
 

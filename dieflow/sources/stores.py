@@ -53,6 +53,9 @@ class StoreFile:
     def seek(self, offset: int, whence: int = 0) -> int:
         return self._run(lambda: self._file.seek(offset, whence))
 
+    def size(self) -> int:
+        return self._run(lambda: self._file.size())
+
     def tell(self) -> int:
         return self._file.tell()
 
