@@ -9,6 +9,7 @@ from dieflow.functions import record_type_name
 from dieflow.operators import flatten, landing, records as r
 from dieflow.session import materialize, scratch_path
 from dieflow.sources import decode as d
+from dieflow.sources.datasource import register
 from dieflow.sources.files import file_manifest, stdf_files
 from dieflow.sources.frames import record_type_column, stdf_frames
 from dieflow.sources.registry import layout_of, register_record_type, registry_frame, unregister_record_type
@@ -42,6 +43,27 @@ def _(spark, sf):
     return file_manifest(files).select(F.element_at(F.split("path", "/"), -1).alias("name"), "length", "file_hash")
 
 
+@query("S2_data_source", f"""
+SELECT {PATH} AS name, p_partkey AS test_num, {PRICE} AS result, p_type AS units FROM part""")
+def _(spark, sf):
+    folder = scratch_path(spark, "logs")
+    write_files(datalog_files(spark, sf), folder)
+    register(spark)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW ptr_of_folder USING stdf OPTIONS (path '{folder}', types 'PTR', fields 'TEST_NUM, RESULT, UNITS')")
+    return spark.sql("SELECT element_at(split(path, '/'), -1) AS name, TEST_NUM AS test_num, CAST(RESULT AS DOUBLE) AS result, UNITS AS units FROM ptr_of_folder")
+
+
+@query("S2_data_source_stream", "SELECT p_partkey AS test_num, p_size AS site_num FROM part")
+def _(spark, sf):
+    folder, target, check = (scratch_path(spark, n) for n in ("logs", "stream", "check"))
+    write_files(datalog_files(spark, sf), folder)
+    register(spark)
+    rows = spark.readStream.format("stdf").option("types", "MPR").schema("TEST_NUM bigint, SITE_NUM smallint").load(folder)
+    for _ in range(2):  # the second run finds nothing new
+        rows.writeStream.format("parquet").option("checkpointLocation", check).trigger(availableNow=True).start(target).awaitTermination()
+    return spark.read.parquet(target).select(F.col("TEST_NUM").alias("test_num"), F.col("SITE_NUM").cast("int").alias("site_num"))
+
+
 _ORDER = ", ".join(
     f"({i + 2}, {layout_of(t).typ}, {layout_of(t).sub}, '{t}')" for i, t in enumerate(SEQUENCE)
 )

@@ -266,6 +266,16 @@ def with_defaults(df: DataFrame) -> DataFrame:
     return df.fillna(0, subset=numeric).fillna("", subset=text)
 
 
+def merged_fields(fields_by_type: dict[str, list[str]]) -> list[T.StructField]:
+    """The union of the chosen fields of several types; those of one name must have one type."""
+    merged: dict[str, T.StructField] = {}
+    for name, fields in fields_by_type.items():
+        for f in layout_of(name).schema(fields):
+            if merged.setdefault(f.name, f).dataType != f.dataType:
+                raise ValueError(f"{f.name} has different types in {list(fields_by_type)}")
+    return list(merged.values())
+
+
 # The type of the row that holds a file's hash.
 FILE = "FILE"
 
@@ -280,12 +290,7 @@ def read_records(files: DataFrame, fields_by_type: dict[str, list[str]], hashes:
     one piece, hashed in the same read.
     """
     layouts = {t: layout_of(t) for t in fields_by_type}
-    merged: dict[str, T.StructField] = {}
-    for name, layout in layouts.items():
-        for f in layout.schema(fields_by_type[name]):
-            if merged.setdefault(f.name, f).dataType != f.dataType:
-                raise ValueError(f"{f.name} has different types in {list(fields_by_type)}")
-    schema = T.StructType(_KEYS + [T.StructField("record_type", T.StringType()), *merged.values(), T.StructField("error", T.StringType())])
+    schema = T.StructType(_KEYS + [T.StructField("record_type", T.StringType()), *merged_fields(fields_by_type), T.StructField("error", T.StringType())])
     if hashes:
         schema = schema.add("file_hash", T.StringType())
     arrow, codes = _arrow_schema(schema), record_codes(fields_by_type)
@@ -293,12 +298,12 @@ def read_records(files: DataFrame, fields_by_type: dict[str, list[str]], hashes:
 
     def run(batches):
         for batch in frame_batches(batches, codes, hashes):
-            yield from _typed_batches(batch, layouts, chosen, arrow)
+            yield from typed_batches(batch, layouts, chosen, arrow)
 
     return walk_units(files).mapInArrow(run, schema)
 
 
-def _typed_batches(batch: pa.RecordBatch, layouts: dict[str, Layout], chosen: dict[str, set[str]], schema: pa.Schema):
+def typed_batches(batch: pa.RecordBatch, layouts: dict[str, Layout], chosen: dict[str, set[str]], schema: pa.Schema):
     def shaped(columns: dict[str, pa.Array], n: int) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 

@@ -49,6 +49,8 @@ _WHOLE = 64 << 20
 # Type and subtype of the frame that holds a file's hash; no record has them.
 HASH = -1
 _BATCH_ROWS = 20_000
+# Faults of a file's format.
+_BROKEN = (OSError, EOFError, zipfile.BadZipFile, zlib.error, ValueError)
 NOT_FAR = "first record is not FAR"
 TRUNCATED = "record is cut off"
 
@@ -127,17 +129,48 @@ def walk(path: str, stream, wanted: set[int] | None, first: int = 0, stop: int |
     stream.seek(first)
     for block, starts, end in _blocks(stream, little, None if stop is None else stop - first):
         if starts:
-            yield from _frames(path, np.frombuffer(block, np.uint8), np.array(starts, np.int64), end, index, little, version, wanted)
+            numbers = index + 1 + np.arange(len(starts), dtype=np.int64)
+            yield from _frames(path, np.frombuffer(block, np.uint8), np.array(starts, np.int64), end, numbers, little, version, wanted)
             index += len(starts)
     if end < len(block):
         left = block[end:]
         yield _error_batch(path, index + 1, *((left[2], left[3]) if len(left) >= 4 else (None, None)), TRUNCATED)
 
 
-def _frames(path, data, starts, end, index, little, version, wanted) -> Iterator[pa.RecordBatch]:
+def positioned(path: str, wanted: set[int] | None, first: int = 0, end: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Frames of the records that start from ``first``, a record's start, to ``end``; record_index is the place of a record's first byte."""
+    try:
+        stream, left_out = _open(path, None)
+        with stream:
+            head = bytes(stream.read(6))
+            if not is_far(head):
+                yield _error_batch(path, 0, None, None, NOT_FAR)
+                return
+            little, at = byte_order(head), first
+            stream.seek(first)
+            for block, starts, stop in _blocks(stream, little):
+                places = np.array(starts, np.int64)
+                inside = len(places) if end is None else int(np.searchsorted(places, end - at))
+                if inside:
+                    last = stop if inside == len(places) else int(places[inside])
+                    yield from _frames(path, np.frombuffer(block, np.uint8), places[:inside], last, at + places[:inside], little, head[5], wanted)
+                if inside < len(places):
+                    return
+                at += stop
+                if end is not None and at >= end:
+                    return
+            if stop < len(block):
+                left = block[stop:]
+                yield _error_batch(path, at, *((left[2], left[3]) if len(left) >= 4 else (None, None)), TRUNCATED)
+        if left_out:
+            yield _error_batch(path, 0, None, None, left_out)
+    except _BROKEN as problem:
+        yield _error_batch(path, 0, None, None, f"unreadable: {problem}")
+
+
+def _frames(path, data, starts, end, numbers, little, version, wanted) -> Iterator[pa.RecordBatch]:
     lengths = np.diff(np.append(starts, end)) - 4
     kinds = data[starts + 2].astype(np.int32) * 256 + data[starts + 3]
-    numbers = index + 1 + np.arange(len(starts), dtype=np.int64)
     if wanted is not None:
         keep = np.isin(kinds, list(wanted))
         starts, lengths, kinds, numbers = starts[keep], lengths[keep], kinds[keep], numbers[keep]
@@ -205,7 +238,7 @@ def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
                     yield from walk(path, stream, wanted, ranges[i]["first"] or 0, ranges[i]["stop"], ranges[i]["base"] or 0)
                 if left_out:
                     yield _error_batch(path, 1, None, None, left_out)
-            except (OSError, EOFError, zipfile.BadZipFile, zlib.error, ValueError) as problem:
+            except _BROKEN as problem:
                 yield _error_batch(path, 1, None, None, f"unreadable: {problem}")
 
 

@@ -121,7 +121,7 @@ def write_files(files: DataFrame, directory: str, prefixes: tuple[str, ...] = ("
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
                 for prefix in prefixes:
-                    with filesystem.open_output_stream(f"{folder}/{prefix}{path}") as out:
+                    with filesystem.open_output_stream(f"{folder}/{prefix}{path}", compression=None) as out:
                         out.write(content)
             yield pdf[["path"]]
 
