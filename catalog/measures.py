@@ -112,6 +112,16 @@ def _(spark, sf):
     return m.segment(product(spark, sf)).select("path", "device_index", "record_index", F.col("value_pos").cast("bigint").alias("value_pos"), "segment")
 
 
+# Without the pixel filter: tests without a pixel take the device's own place.
+_PIXEL_FILTER = "WHERE contains(alarm_id, 'Pixel=') OR contains(test_txt, 'Pixel=')"
+
+
+@query("W1_segment_of_all_tests", with_views("SELECT path, device_index, record_index, value_pos, wp_pos_x, wp_pos_y, segment FROM seg", "seg").replace(_PIXEL_FILTER, ""))
+def _(spark, sf):
+    rows = m.numbered_product(devices(spark, sf), tests(spark, sf, pixel_mode=None))
+    return rows.select("path", "device_index", "record_index", F.col("value_pos").cast("bigint").alias("value_pos"), "wp_pos_x", "wp_pos_y", "segment")
+
+
 @query("W1_segment_by_raw_flag", with_views("""
 SELECT path, device_index, record_index, value_pos, row_number() OVER (PARTITION BY path, wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, test_flg
        ORDER BY device_index, record_index, value_pos) - 1 AS segment FROM prod""", "prod"))

@@ -10,11 +10,7 @@ from dieflow.functions.numbers import parse_values, parse_values_strict, safe_fl
 from dieflow.functions.text import (
     clean_param, first_non_empty, is_pixel_test, non_empty, param_source, pixel_of_test, pixel_xy,
 )
-from dieflow.operators.numbering import CHUNK, number_within
-from dieflow.session import materialize
-
-# Output rows one product task should hold.
-CELL_ROWS = 250_000
+from dieflow.operators.product import SEGMENT_KEY, device_test_product, grid_join, numbered_product, product_grid, segment
 
 FACT_COLUMNS = [
     "wld_id", "wtp_id", "wp_pos_x", "wp_pos_y", "wptm_value", "wptm_created_date", "test_flag", "segment", "file_hash",
@@ -132,116 +128,6 @@ def prepare_tests(
     )
 
 
-def product_grid(left: DataFrame, right: DataFrame, on: str, cell_rows: int = CELL_ROWS, right_weight: Column | None = None) -> DataFrame:
-    """One row per key: into how many stripes its left and right rows are cut.
-
-    The rectangle (left rows x right rows) of a key is tiled into cells of about
-    ``cell_rows`` output rows: squares where both sides are long, whole rows where one
-    is short.
-    """
-    weight = F.lit(1.0) if right_weight is None else right_weight.cast("double")
-    sizes = (
-        left.groupBy(on).agg(F.count("*").cast("double").alias("_l"))
-        .join(right.groupBy(on).agg(F.sum(weight).alias("_r"), F.count("*").cast("double").alias("_rn")), on)
-    )
-    area, side = F.lit(float(cell_rows)), F.lit(float(cell_rows) ** 0.5)
-    stripes_l = F.ceil(F.col("_l") / F.greatest(side, area / F.col("_r")))
-    stripes_r = F.least(F.ceil(F.col("_r") / F.greatest(side, area / F.col("_l"))), F.col("_rn"))
-    return sizes.select(on, stripes_l.cast("int").alias("_nl"), stripes_r.cast("int").alias("_nr"))
-
-
-def grid_join(left: DataFrame, right: DataFrame, on: str, grid: DataFrame) -> DataFrame:
-    """All left rows of a key with all right rows of it, spread over tasks by output size.
-
-    A row is copied once per cell of its stripe, so one key holding most rows of both
-    sides is cut into as many tasks as its output needs, while input copies grow only
-    with the square root of the output.
-    """
-
-    def stripe(df: DataFrame, own: str, other: str, own_name: str, other_name: str) -> DataFrame:
-        return (
-            df.join(grid, on)
-            .withColumn(own_name, F.pmod(F.xxhash64(*[F.col(c) for c in _order_columns(df)]), F.col(own)).cast("int"))
-            .withColumn(other_name, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-            .drop("_nl", "_nr")
-        )
-
-    keys = [on, "_cl", "_cr"]
-    # A fixed partition count: small inputs must not be merged into one task, their product is large.
-    n = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cells_l = stripe(left, "_nl", "_nr", "_cl", "_cr").repartition(n, *keys)
-    cells_r = stripe(right, "_nr", "_nl", "_cr", "_cl").repartition(n, *keys)
-    return cells_l.hint("shuffle_merge").join(cells_r, keys).drop("_cl", "_cr")
-
-
-def _order_columns(df: DataFrame) -> list[str]:
-    return [c for c in ("device_index", "record_index") if c in df.columns] or df.columns
-
-
-def device_test_product(
-    devices: DataFrame, tests: DataFrame, cell_rows: int = CELL_ROWS, keep: tuple[str, ...] = (), grid: DataFrame | None = None
-) -> DataFrame:
-    """Every device with every prepared test of its file, one row per value.
-
-    Carries (device_index, record_index, value_pos), the arrival order. ``keep``
-    names further columns of either side to carry along; ``grid`` reuses a tiling.
-    """
-    grid = product_grid(devices, tests, "path", cell_rows, F.size("values")) if grid is None else grid
-    joined = grid_join(devices, tests, "path", grid)
-    rows = joined.select(
-        "*", F.posexplode("values").alias("value_pos", "wptm_value"),
-    )
-    extra = [c for c in keep if c in rows.columns]
-    return rows.select(
-        "path", "device_index", "record_index", "value_pos", "wld_device_dmc", "wtp_param_name",
-        F.coalesce("pixel_x", "default_x").alias("wp_pos_x"),
-        F.coalesce("pixel_y", "default_y").alias("wp_pos_y"),
-        "wptm_value", "test_flag", "units", "test_num", "test_flg", "record_type", "bin_code", "bin_desc", *extra,
-    )
-
-
-# --- segments without shuffling the product --------------------------------------------
-
-
-def numbered_product(devices: DataFrame, tests: DataFrame, cell_rows: int = CELL_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The product with its ``segment``, numbered before the rows multiply.
-
-    Where a test carries its own pixel, duplicates of (device, parameter, position,
-    flag) form a rectangle: the same device seen again x the same test seen again. So
-    segment = device rank x values in the test group + values before this one, and
-    only the two small inputs are sorted. Tests that borrow the part's position may
-    meet any other test of their parameter; those parameters are numbered on the
-    product.
-    """
-    devices, tests = materialize(devices), materialize(tests)
-    grid = product_grid(devices, tests, "path", cell_rows, F.size("values"))
-    ranked = number_within(devices, ["path", "wld_device_dmc", "test_flag"], ["device_index"], "_device_rank")
-
-    same = ["path", "wtp_param_name"]
-    loose = tests.filter(F.col("pixel_x").isNull() | F.col("pixel_y").isNull())
-    all_placed = loose.isEmpty()
-    if not all_placed:
-        open_params = loose.select(*same).distinct()
-        loose, tests = tests.join(open_params, same, "left_semi"), tests.join(open_params, same, "left_anti")
-
-    group = [*same, "pixel_x", "pixel_y"]
-    placed = number_within(tests, group, ["record_index"], "_values_before", weight=F.size("values"), total="_values_total")
-    carried = ("_device_rank", "_values_before", "_values_total", *keep)
-    regular = device_test_product(ranked, placed, keep=carried, grid=grid).withColumn(
-        "segment", F.col("_device_rank") * F.col("_values_total") + F.col("_values_before") + F.col("value_pos")
-    ).drop("_device_rank", "_values_before", "_values_total")
-    return regular if all_placed else regular.unionByName(segment(device_test_product(devices, loose, keep=keep, grid=grid)))
-
-
-SEGMENT_KEY = ["path", "wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "test_flag"]
-
-
-def segment(measurements: DataFrame, key: list[str] | None = None) -> DataFrame:
-    """Number duplicates of a measurement key from 0 in arrival order."""
-    chunks = [F.col("device_index"), F.floor(F.col("record_index") / CHUNK)]
-    return number_within(measurements, key or SEGMENT_KEY, ["device_index", "record_index", "value_pos"], "segment", chunks=chunks)
-
-
 # --- projections -------------------------------------------------------------------------
 
 
@@ -284,3 +170,9 @@ def to_fact(measurements: DataFrame, load_ts: Column) -> DataFrame:
         F.when(F.col("test_flag") != 0, 1).otherwise(0).cast("smallint").alias("test_flag"),
         F.coalesce(F.col("segment"), F.lit(0)).cast("bigint").alias("segment"), F.coalesce("file_hash", F.lit("")).alias("file_hash"),
     )
+
+
+__all__ = [
+    "FACT_COLUMNS", "MIR_COLUMNS", "SEGMENT_KEY", "device_context", "device_test_product", "grid_join", "measurement_tuple", "measurement_wide", "mir_context",
+    "numbered_product", "prepare_tests", "product_grid", "segment", "test_values", "to_fact", "with_mir",
+]

@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from dieflow.operators import dedup, dims, measurements as m, numbering
+from dieflow.operators import dedup, dims, measurements as m, numbering, product
 
 DEV = "path string, device_index long, wld_device_dmc string, bin_code string, bin_desc string, test_flag int, default_x int, default_y int"
 TEST = "path string, record_index long, record_type string, test_num long, test_flg int, wtp_param_name string, values array<double>, pixel_x int, pixel_y int, units string"
@@ -62,13 +62,46 @@ def test_hot_key_is_cut_into_cells(spark):
 @pytest.mark.parametrize("loose", [0.0, 0.3, 1.0])
 def test_numbered_product_equals_brute_force(spark, loose, monkeypatch):
     monkeypatch.setattr(numbering, "CHUNK", 5)
-    monkeypatch.setattr(m, "CHUNK", 5)
+    monkeypatch.setattr(product, "CHUNK", 5)
     devices, tests, dd, tt = made(spark, 11, loose=loose)
     want = brute(devices, tests)
     assert got(m.numbered_product(dd, tt, cell_rows=50)) == want
     assert got(m.segment(m.device_test_product(dd, tt, 50))) == want
 
 
+@pytest.mark.parametrize("shape", ["apart", "still", "half"])
+def test_loose_tests_in_every_shape(spark, shape):
+    """Devices away from all pixels; devices that keep their place; tests that miss one axis only."""
+    devices, tests, _, _ = made(spark, 21, loose=0.4)
+    if shape == "apart":
+        devices = [(*d[:6], d[6] + 50, d[7]) for d in devices]
+    elif shape == "still":
+        devices = [(*d[:6], int(d[2][1:]) % 3, int(d[2][1:]) % 2) for d in devices]
+    else:
+        tests = [(*t[:7], t[7] if i % 3 else None, t[8], t[9]) for i, t in enumerate(tests)]
+    dd, tt = spark.createDataFrame(devices, DEV), spark.createDataFrame(tests, TEST)
+    assert got(m.numbered_product(dd, tt, cell_rows=50)) == brute(devices, tests)
+
+
+def test_tasks_follow_the_output(spark, monkeypatch):
+    """One huge and many small files: equal shares, more tasks for more output."""
+    monkeypatch.setattr(product, "LEAST_ROWS", 100)
+    devices = [("huge", i, "d", "1", "PASS", 1, 0, 0) for i in range(300)] + [(f"s{k}", 1000 + k, "d", "1", "PASS", 1, 0, 0) for k in range(200)]
+    tests = [("huge", i, "PTR", i, 0, "p", [1.0], 0, 0, "V") for i in range(200)]
+    tests += [(f"s{k}", i, "PTR", i, 0, "p", [1.0], 0, 0, "V") for k in range(200) for i in range(20)]
+    dd, tt = spark.createDataFrame(devices, DEV), spark.createDataFrame(tests, TEST)
+
+    def shares():
+        rows = m.device_test_product(dd, tt).withColumn("task", F.spark_partition_id()).groupBy("task").count().collect()
+        return [r["count"] for r in rows]
+
+    found = shares()
+    assert sum(found) == 64_000 and len(found) == 8 and max(found) < 1.4 * 8000
+    monkeypatch.setattr(product, "TASK_ROWS", 2000)
+    found = shares()
+    assert sum(found) == 64_000 and 30 <= len(found) <= 32 and max(found) < 2 * 2000
+
+
 @pytest.mark.parametrize("chunk", [1, 3, 1000])
 def test_number_within_chunks(spark, chunk, monkeypatch):
     monkeypatch.setattr(numbering, "CHUNK", chunk)

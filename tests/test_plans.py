@@ -1,12 +1,13 @@
 """Physical plans: what is shuffled, pushed down and pruned."""
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from dieflow.operators import measurements as m, records as r, stats
+from dieflow.operators import measurements as m, product, records as r, stats
 from dieflow.operators.landing import ptr_view
 from dieflow.plans import tables as t
-from test_measurements import made
+from test_measurements import DEV, made
 
 
 def plan(df):
@@ -17,17 +18,24 @@ def shuffles(text):
     return len(re.findall(r"Exchange (?:hash|range|Single)", text))
 
 
-def test_segments_do_not_shuffle_the_product(spark):
-    _, _, devices, tests = made(spark, 3)
-    text = plan(m.numbered_product(devices, tests))
-    above = text[: text.index("SortMergeJoin")]
-    assert "posexplode" in above and "Exchange" not in above and "Window" not in above
+@pytest.mark.parametrize("loose", [0.0, 0.3])
+def test_segments_do_not_shuffle_the_product(spark, loose):
+    devices, _, _, tests = made(spark, 3, loose=loose)
+    # Devices away from the pixels, or at one place per name.
+    for place in (lambda d: (9, 9), lambda d: (int(d[2][1:]) % 3, 0)):
+        moved = spark.createDataFrame([(*d[:6], *place(d)) for d in devices], DEV)
+        text = plan(m.numbered_product(moved, tests))
+        assert "posexplode" in text and "Window" not in text[: text.index("SortMergeJoin")]
+        for branch in text.split("posexplode")[:-1]:
+            above = branch[branch.rfind("Scan parquet") + 1 :]
+            assert "Exchange" not in above and "Window" not in above
 
 
-def test_product_keeps_its_partition_count(spark):
+def test_tasks_of_the_product_are_its_shares(spark, monkeypatch):
+    monkeypatch.setattr(product, "LEAST_ROWS", 50)
     _, _, devices, tests = made(spark, 3)
     df = m.device_test_product(devices, tests, cell_rows=50)
-    assert "REPARTITION_BY_NUM" in plan(df) and df.rdd.getNumPartitions() == 8
+    assert "shufflepartitionidpassthrough" in plan(df) and df.rdd.getNumPartitions() == 8
 
 
 def test_first_rows_are_limited_before_the_shuffle(spark):
