@@ -9,7 +9,7 @@ from catalog.registry import query
 from catalog.views import table, view, with_views
 from dieflow.operators import dedup, dims, landing, measurements as m
 from dieflow.plans import tables as t
-from dieflow.plans.landing import load_landing_files
+from dieflow.plans.landing import load_landing
 from dieflow.session import scratch_path
 from dieflow.sources import atdf, xtdf
 from dieflow.streaming.incremental import incremental_load
@@ -183,10 +183,11 @@ SELECT 'PTR' AS kind, p_partkey AS test_num, p_name AS wtp_param_name, CAST(p_pa
 FROM part
 UNION ALL SELECT 'MPR', p_partkey, p_name, CAST(p_partkey % 4 AS INT), p_size % 8, CAST(p_partkey % 4 AS INT), {PRICE}, CAST(p_size AS DOUBLE), 2, p_size % 16, 3, p_type, 1 FROM part""")
 def _(spark, sf):
-    base = scratch_path(spark, "tables")
+    base, folder = scratch_path(spark, "tables"), scratch_path(spark, "incoming")
     t.create_tables(spark, base)
+    write_files(datalog_files(spark, sf), folder)
     for _ in range(2):  # the second load finds nothing new
-        load_landing_files(spark, datalog_files(spark, sf).withColumn("length", F.length("content").cast("bigint")), base, F.lit("2024-01-15 00:00:00"))
+        load_landing(spark, folder, base, F.lit("2024-01-15 00:00:00"))
     names = t.read_table(spark, base, "parameter_info")
     number = lambda c: F.size(c).cast("bigint")
     ptr = t.read_table(spark, base, "measurements_ptr").withColumns({
