@@ -1,11 +1,14 @@
 """File validation and comparison of two extractions."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dieflow.functions.text import normalize_name
-from dieflow.session import materialize
 from dieflow.sources.registry import record_types
 
 # Outcomes of the validation rules.
@@ -20,65 +23,127 @@ TWO_WCR = "more than one WCR"
 UNKNOWN = "unknown record"
 MRR_NOT_LAST = "MRR not last"
 
-_INITIAL = ("FAR", "ATR", "MIR", "RDR", "SDR")
+_HEAD = ("FAR", "ATR", "MIR", "RDR", "SDR")
+_CLASSES = (*_HEAD, "MRR", "WCR", "other", "unknown")
+# Classes that change nothing when they come twice in a row; the others are counted.
+_TWICE = np.array([c not in ("FAR", "MIR", "RDR", "MRR", "WCR") for c in _CLASSES])
+_ERRORS = (NOT_FAR, NO_MIR, OUTSIDE, TWO_MRR, TWO_WCR, UNKNOWN)
+# Before FAR, before MIR, right behind MIR, behind RDR or SDR; in the body, how many MRR and WCR and whether the last is MRR.
+_BODY = [(mrr, wcr, last) for mrr in (0, 1) for wcr in (0, 1) for last in (0, 1)]
+_STATES = ["start", "head", "mir", "sdr", *_BODY, *_ERRORS]
+# Consecutive record numbers whose pieces are put together first.
+PIECES = 1 << 16
+
+
+def _next(state, kind: str, strict: bool):
+    """The state after a record of a class."""
+    if state in _ERRORS:
+        return state
+    if state == "start":
+        return "head" if kind == "FAR" else NOT_FAR
+    if state == "head":
+        return "head" if kind == "ATR" else "mir" if kind == "MIR" else NO_MIR
+    if state in ("mir", "sdr"):
+        if kind == "SDR" or (kind == "RDR" and state == "mir"):
+            return "sdr"
+        if strict:
+            return 0, 0, int(kind == "MRR")
+        state = 0, 0, 0
+    mrr, wcr, _ = state
+    if kind in _HEAD:
+        return OUTSIDE
+    if kind == "unknown":
+        return UNKNOWN
+    if kind == "MRR":
+        return TWO_MRR if mrr else (1, wcr, 1)
+    if kind == "WCR":
+        return TWO_WCR if wcr else (mrr, 1, 0)
+    return mrr, wcr, 0
+
+
+def _table(strict: bool) -> np.ndarray:
+    """Per class, the state each state goes to."""
+    return np.array([[_STATES.index(_next(s, c, strict)) for s in _STATES] for c in _CLASSES], np.uint8)
+
+
+def _through(kinds: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where each state is after a run of records. Few records of a run count, and all states soon end in errors."""
+    state = np.arange(len(_STATES), dtype=np.uint8)
+    again = np.r_[False, (kinds[1:] == kinds[:-1]) & _TWICE[kinds[1:]]]
+    for kind in kinds[~again]:
+        state = table[kind][state]
+        if (state >= len(_STATES) - len(_ERRORS)).all():
+            break
+    return state
+
+
+_PIECE = pa.schema([("path", pa.string()), ("first", pa.int64()), ("states", pa.binary()), ("stretch", pa.int64())])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], classes: dict[str, int], table: np.ndarray, stretch: int) -> Iterator[pa.RecordBatch]:
+    """Runs of consecutive records in a batch, each as the map from the state before it to the one after."""
+    unknown = _CLASSES.index("unknown")
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        paths = batch.column("path").dictionary_encode()
+        code, index = paths.indices.to_numpy(zero_copy_only=False), batch.column("record_index").to_numpy(zero_copy_only=False)
+        types = batch.column("record_type").dictionary_encode(null_encoding="encode")
+        kinds = np.array([classes.get(t, unknown) for t in types.dictionary.to_pylist()])[types.indices.to_numpy(zero_copy_only=False)]
+        order = np.lexsort((index, code))
+        code, index, kinds = code[order], index[order], kinds[order]
+        begin = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (index[1:] != index[:-1] + 1)])
+        states = [_through(kinds[a:b], table).tobytes() for a, b in zip(begin, [*begin[1:], len(code)])]
+        columns = [paths.dictionary.take(pa.array(code[begin])), pa.array(index[begin]), pa.array(states, pa.binary()), pa.array(index[begin] // stretch)]
+        yield pa.RecordBatch.from_arrays(columns, schema=_PIECE)
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of one file and stretch, which come in their order, as one piece."""
+    now, first, state = None, 0, None
+
+    def piece():
+        return dict(zip(_PIECE.names, (now[0], first, state.tobytes(), now[1])))
+
+    for batch in batches:
+        out = []
+        for path, at, step, stretch in zip(*(batch.column(c).to_pylist() for c in _PIECE.names)):
+            step = np.frombuffer(step, np.uint8)
+            if (path, stretch) == now:
+                state = step[state]
+                continue
+            if now is not None:
+                out.append(piece())
+            now, first, state = (path, stretch), at, step
+        yield pa.RecordBatch.from_pylist(out, _PIECE)
+    if now is not None:
+        yield pa.RecordBatch.from_pylist([piece()], _PIECE)
 
 
 def validate_files(records: DataFrame, strict: bool = False) -> DataFrame:
     """Per file: path, message of the first broken rule (or ``valid``), valid flag.
 
-    ``records`` holds (path, record_index from 1, record_type). All records are only
-    aggregated per file; joins touch the few record types the rules name, so a huge
-    file is never sorted in one task. ``strict`` leaves the first record after the
+    ``records`` holds (path, record_index from 1, record_type), in any order and partitioning. The rules are
+    an automaton; a run of records is the map from the state before it to the state after, and
+    such maps are put together in order: within a batch before anything is shuffled, then
+    within stretches of a file, then per file. The records are read once, and a huge file
+    is checked by as many tasks as hold it. ``strict`` leaves the first record after the
     initial sequence unchecked and treats DTR as unknown.
     """
     known = [t for t in record_types() if not (strict and t == "DTR")]
-    index, kind = F.col("record_index"), F.col("record_type")
-    later = index > 1
-    # One row per file, used by every later step.
-    files = materialize(
-        records.groupBy("path").agg(
-            F.min_by(kind, index).alias("first_type"),
-            F.max_by(kind, index).alias("last_type"),
-            F.min(F.when(later & (kind != "ATR"), F.struct(index, kind))).alias("after_atr"),
-            F.min(F.when(later & ~kind.isin(*_INITIAL), index)).alias("first_other"),
-            F.min(F.when(kind == "RDR", index)).alias("first_rdr"),
-        )
-    )
-    named = records.filter(kind.isin(*_INITIAL, "MRR", "WCR") | ~kind.isin(*known)).select("path", "record_index", "record_type")
-
-    # After a correct head, an RDR right behind the MIR is the file's first one.
-    mir_index = F.col("after_atr.record_index")
-    heads = files.withColumn("head_end", mir_index + F.when(F.col("first_rdr") == mir_index + 1, 1).otherwise(0))
-    # The body starts at the first record after the head that is no SDR.
-    breaks = (
-        named.filter(kind.isin(*[t for t in _INITIAL if t != "SDR"]))
-        .join(heads.select("path", "head_end"), "path")
-        .filter(index > F.col("head_end"))
-        .groupBy("path").agg(F.min("record_index").alias("first_break"))
-    )
-    bodies = materialize(heads.join(breaks, "path", "left").withColumn("body_start", F.least("first_other", "first_break")))
-
-    # The first of a forbidden type and the second of a single one break a rule; the
-    # rank limit is applied before the shuffle, so a repeated type is no hot group.
-    single = kind.isin("MRR", "WCR")
-    checked = index > F.col("body_start") if strict else index >= F.col("body_start")
-    seen = F.row_number().over(Window.partitionBy("path", "record_type").orderBy("record_index"))
-    ranked = named.join(bodies.select("path", "body_start"), "path").filter(checked).withColumn("_seen", seen).filter(F.col("_seen") <= 2)
-    message = F.when(kind == "MRR", TWO_MRR).when(kind == "WCR", TWO_WCR).when(kind.isin(*_INITIAL), OUTSIDE).otherwise(UNKNOWN)
-    broken = (
-        ranked.filter(F.col("_seen") == F.when(single, 2).otherwise(1))
-        .groupBy("path").agg(F.min_by(message, "record_index").alias("body_problem"))
-    )
-    outcome = (
-        F.when(F.col("first_type") != "FAR", NOT_FAR)
-        .when(F.col("after_atr").isNull(), NO_INITIAL)
-        .when(F.col("after_atr.record_type") != "MIR", NO_MIR)
-        .when(F.col("body_start").isNull(), EOF)
-        .when(F.col("body_problem").isNotNull(), F.col("body_problem"))
-        .when(F.col("last_type") != "MRR", MRR_NOT_LAST)
-        .otherwise(VALID)
+    classes = {t: _CLASSES.index(t if t in _CLASSES else "other") for t in known}
+    table, stretch, schema = _table(strict), PIECES, "path string, first bigint, states binary, stretch bigint"
+    pieces = records.select("path", F.col("record_index").cast("bigint").alias("record_index"), "record_type").mapInArrow(
+        lambda it: _pieces(it, classes, table, stretch), schema
     )
-    return bodies.join(broken, "path", "left").select("path", outcome.alias("message"), (outcome == VALID).alias("valid"))
+    # First within stretches of a file, then per file; a stretch number keeps apart what does not touch.
+    stretches = pieces.repartition("path", "stretch").sortWithinPartitions("path", "first").mapInArrow(_joined, schema)
+    whole = stretches.withColumn("stretch", F.lit(0).cast("bigint")).repartition("path").sortWithinPartitions("path", "first").mapInArrow(_joined, schema)
+    ends = [NO_INITIAL if s in ("start", "head") else EOF if s in ("mir", "sdr") else s if s in _ERRORS else VALID if s[2] else MRR_NOT_LAST for s in _STATES]
+    # The state a whole file leads to from the first one.
+    state = F.conv(F.substring(F.hex("states"), 1, 2), 16, 10).cast("int")
+    outcome = F.element_at(F.array(*map(F.lit, ends)), state + 1)
+    return whole.select("path", outcome.alias("message"), (outcome == VALID).alias("valid"))
 
 
 # Bounds of the comparison report.

@@ -5,7 +5,6 @@ each field reads at a vector of positions and moves that vector on.
 """
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 from dieflow.sources.frames import HASH, binary_array, frame_batches, gather, record_codes, walk_units
-from dieflow.sources.registry import Field, Layout, layout_of
+from dieflow.sources.registry import Field, Layout, layout_of, record_types
 
 _NUMPY = {
     "U1": "u1", "U2": "u2", "U4": "u4", "I1": "i1", "I2": "i2", "I4": "i4",
@@ -26,7 +25,6 @@ _NUMPY = {
 _GENERIC_TAGS = {
     0: "B0", 1: "U1", 2: "U2", 3: "U4", 4: "I1", 5: "I2", 6: "I4", 7: "R4", 8: "R8", 10: "Cn", 11: "Bn", 12: "Dn", 13: "N1",
 }
-_STRUCT = {"U1": "B", "U2": "H", "U4": "I", "I1": "b", "I2": "h", "I4": "i", "R4": "f", "R8": "d"}
 
 
 class _Cursor:
@@ -85,10 +83,24 @@ class _Cursor:
 
 
 def _strings(data: np.ndarray, offsets: np.ndarray, valid: np.ndarray) -> pa.Array:
-    raw = binary_array(data, offsets, valid)
-    if len(data) and data.max() >= 0x80:
-        return pa.array([None if v is None else v.decode("latin-1") for v in raw.to_pylist()], pa.string())
-    return raw.view(pa.string())
+    """Latin-1 bytes as text."""
+    high = data >= 0x80
+    if high.any():
+        # Such a byte becomes two in UTF-8.
+        more = np.concatenate([[0], np.cumsum(high)])
+        place = np.arange(len(data)) + more[:-1]
+        wide = np.empty(len(data) + more[-1], np.uint8)
+        wide[place] = np.where(high, 0xC0 | data >> 6, data)
+        wide[place[high] + 1] = 0x80 | data[high] & 0x3F
+        data, offsets = wide, offsets + more[offsets]
+    return binary_array(data, offsets, valid).view(pa.string())
+
+
+_HEX = np.frombuffer(b"".join(b"%02X" % i for i in range(256)), np.uint8).reshape(256, 2)
+
+
+def _hex(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    return binary_array(_HEX[data].ravel(), 2 * offsets).view(pa.string())
 
 
 def _lists(offsets: np.ndarray, values: pa.Array, valid: np.ndarray) -> pa.Array:
@@ -98,35 +110,64 @@ def _lists(offsets: np.ndarray, values: pa.Array, valid: np.ndarray) -> pa.Array
     )
 
 
-def _generic(body: bytes, little: bool, count: int) -> tuple[list[dict], int]:
-    """Tagged values of one body, and how many bytes they took."""
-    order, pos, out = "<" if little else ">", 0, []
-    while count > 0 and pos < len(body):
-        count -= 1
-        tag = _GENERIC_TAGS.get(body[pos])
-        pos += 1
-        if tag in _STRUCT:
-            width = struct.calcsize(order + _STRUCT[tag])
-            value = str(struct.unpack_from(order + _STRUCT[tag], body, pos)[0]) if pos + width <= len(body) else None
-            pos += width
-        elif tag in ("Cn", "Bn"):
-            width = body[pos] if pos < len(body) else 0
-            part = body[pos + 1 : pos + 1 + width]
-            value = part.decode("latin-1") if tag == "Cn" else part.hex().upper()
-            pos += 1 + width
-        elif tag == "Dn":
-            bits = int.from_bytes(body[pos : pos + 2], "little" if little else "big")
-            width = (bits + 7) // 8
-            value = body[pos + 2 : pos + 2 + width].hex().upper()
-            pos += 2 + width
-        elif tag in ("B0", "N1"):
-            value = None if tag == "B0" or pos >= len(body) else str(body[pos] >> 4)
-            pos += 1
-        else:
-            out.append({"tag": f"?{body[pos - 1]}", "value": None})
-            continue
-        out.append({"tag": tag, "value": value})
-    return out, min(pos, len(body))
+def _part(cursor: _Cursor, rows: np.ndarray) -> _Cursor:
+    """A cursor over some of the bodies."""
+    part = object.__new__(_Cursor)
+    part.data, part.pos, part.end, part.little = cursor.data, cursor.pos[rows], cursor.end[rows], cursor.little[rows]
+    return part
+
+
+def _gathered(n: int, rows: list[np.ndarray], values: list[pa.Array]) -> pa.Array:
+    """Lists per body from the values found step by step; NULL for none."""
+    if not rows:
+        return _lists(np.zeros(n + 1, np.int64), values[0].slice(0, 0), np.zeros(n, bool))
+    row = np.concatenate(rows)
+    sizes = np.bincount(row, minlength=n)
+    ordered = pa.concat_arrays(values).take(pa.array(np.argsort(row, kind="stable")))
+    return _lists(np.concatenate([[0], np.cumsum(sizes)]), ordered, sizes > 0)
+
+
+_TAGGED = pa.struct([("tag", pa.string()), ("value", pa.string())])
+
+
+def _tagged_value(part: _Cursor, tag: str) -> pa.Array:
+    """The next value of all bodies of a part, which have the same tag, as text."""
+    n = len(part.pos)
+    if tag in _NUMPY and tag not in ("B1", "C1"):
+        values, valid = part.fixed(_NUMPY[tag])
+        return pa.array([str(v) if ok else None for v, ok in zip(values.tolist(), valid.tolist())], pa.string())
+    if tag == "Cn":
+        _, start, length, _ = part.counted(1, "u1")
+        return _strings(*gather(part.data, start, length), np.ones(n, bool))
+    if tag in ("Bn", "Dn"):
+        _, start, length, _ = part.counted(*((1, "u1") if tag == "Bn" else (8, "u2")))
+        return _hex(*gather(part.data, start, length))
+    values, valid = part.fixed("u1")
+    return pa.array([str(v >> 4) if ok and tag == "N1" else None for v, ok in zip(values.tolist(), valid.tolist())], pa.string())
+
+
+def _tagged_lists(cursor: _Cursor, count: np.ndarray) -> pa.Array:
+    """Tagged values of all bodies: the k-th of every body together, those of one tag at once."""
+    rows, values = [], []
+    left = np.flatnonzero((count > 0) & (cursor.pos < cursor.end))
+    for step in range(1, int(count.max(initial=0)) + 1):
+        if not len(left):
+            break
+        codes = cursor.data[cursor.pos[left]]
+        cursor.pos[left] += 1
+        for code in np.unique(codes).tolist():
+            own = left[codes == code]
+            tag = _GENERIC_TAGS.get(code)
+            if tag is None:
+                text = pa.nulls(len(own), pa.string())
+            else:
+                part = _part(cursor, own)
+                text = _tagged_value(part, tag)
+                cursor.pos[own] = part.pos
+            rows.append(own)
+            values.append(pa.StructArray.from_arrays([pa.repeat(pa.scalar(tag or f"?{code}"), len(own)), text], fields=list(_TAGGED)))
+        left = left[(count[left] > step) & (cursor.pos[left] < cursor.end[left])]
+    return _gathered(len(count), rows, values or [pa.array([], _TAGGED)])
 
 
 def _field(cursor: _Cursor, field: Field, counts: dict[str, np.ndarray], wanted: bool) -> pa.Array | None:
@@ -137,12 +178,7 @@ def _field(cursor: _Cursor, field: Field, counts: dict[str, np.ndarray], wanted:
         if kind == "Cn":
             return _string_lists(cursor, count)
         if kind == "Vn":
-            rows = []
-            for i, n in enumerate(count):
-                values, used = _generic(cursor.data[cursor.pos[i] : cursor.end[i]].tobytes(), bool(cursor.little[i]), int(n))
-                cursor.pos[i] += used
-                rows.append(values or None)
-            return pa.array(rows, arrow_type)
+            return _tagged_lists(cursor, count).cast(arrow_type)
         return cursor.nibbles(count) if kind == "N1" else cursor.array(_NUMPY[kind], count).cast(arrow_type)
     if kind == "Cn":
         return cursor.text(wanted)
@@ -165,22 +201,16 @@ def _field(cursor: _Cursor, field: Field, counts: dict[str, np.ndarray], wanted:
 
 
 def _string_lists(cursor: _Cursor, count: np.ndarray) -> pa.Array:
-    rows: list[list[str]] = [[] for _ in count]
+    """Lists of texts: the k-th text of every body together. Texts past the end are empty."""
+    rows, values = [], []
     for step in range(int(count.max(initial=0))):
         live = np.flatnonzero(count > step)
-        _, start, length, valid = _sub_cursor(cursor, live)
-        texts = _strings(*gather(cursor.data, start, length), valid).to_pylist()
-        for row, value in zip(live, texts):
-            rows[row].append(value or "")
-    return pa.array([r or None for r in rows], pa.list_(pa.string()))
-
-
-def _sub_cursor(cursor: _Cursor, live: np.ndarray):
-    part = object.__new__(_Cursor)
-    part.data, part.pos, part.end, part.little = cursor.data, cursor.pos[live], cursor.end[live], cursor.little[live]
-    found = part.counted(1, "u1")
-    cursor.pos[live] = part.pos
-    return found
+        part = _part(cursor, live)
+        _, start, length, _ = part.counted(1, "u1")
+        cursor.pos[live] = part.pos
+        rows.append(live)
+        values.append(_strings(*gather(cursor.data, start, length), np.ones(len(live), bool)))
+    return _gathered(len(count), rows, values or [pa.array([], pa.string())])
 
 
 def decode_bodies(layout: Layout, bodies: pa.Array, little: np.ndarray, wanted: set[str]) -> dict[str, pa.Array]:
@@ -260,10 +290,11 @@ def decode_other(frames: DataFrame, record_type: str, fields: list[str] | None =
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
-    """Fill fields a short record left out: numbers 0, text empty."""
+    """Fill fields a short record left out: numbers 0, single characters a space, other text empty."""
+    letters = {f.name for name in record_types() for f in layout_of(name).fields if f.kind == "C1"}
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return df.fillna(0, subset=numeric).fillna("", subset=text)
+    return df.fillna(0, subset=numeric).fillna(" ", subset=[n for n in text if n in letters]).fillna("", subset=text)
 
 
 def merged_fields(fields_by_type: dict[str, list[str]]) -> list[T.StructField]:

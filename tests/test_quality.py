@@ -5,7 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from dieflow.operators import quality as q, records as r, stats
+from dieflow.sources.files import stdf_files
+from dieflow.sources.frames import record_type_column, stdf_frames
 from dieflow.sources.registry import record_types
+from fixtures.encode import datalog
 
 
 def sequential(types, strict):
@@ -66,6 +69,36 @@ def test_validation_equals_sequential_reading(spark, strict):
     assert len({m for m, _ in got.values()}) >= 7
 
 
+def test_one_file_in_many_pieces(spark, monkeypatch):
+    """A file's records over many partitions and batches, in any order, read once."""
+    monkeypatch.setattr(q, "PIECES", 50)
+    rng = random.Random(8)
+    files = {}
+    for i in range(12):
+        seq = ["FAR", "ATR", "MIR", "RDR", "SDR"] + ["PTR"] * rng.randrange(300) + ["MRR"]
+        for _ in range(rng.randrange(3)):
+            seq.insert(rng.randrange(len(seq) + 1), rng.choice(["MRR", "WCR", "SDR", "???", "PIR", "DTR"]))
+        files[f"f{i}"] = seq
+    rows = [(p, n + 1, t) for p, seq in files.items() for n, t in enumerate(seq)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "path string, record_index long, record_type string")
+    for strict in (False, True):
+        for partitions in (1, 7):
+            out = q.validate_files(df.repartition(partitions), strict)
+            assert {x.path: x.message for x in out.collect()} == {p: sequential(seq, strict) for p, seq in files.items()}
+    assert str(q.validate_files(df)._jdf.queryExecution().executedPlan()).count("Scan ExistingRDD") == 1
+
+
+def test_a_large_file_is_validated_from_its_ranges(spark, tmp_path):
+    head = [("MIR", {}), ("SDR", {})]
+    body = [("PTR", {"TEST_NUM": i, "TEST_TXT": "x" * 50}) for i in range(3000)]
+    for name, records in {"good": head + body + [("MRR", {})], "two": head + body + [("MRR", {})] * 2, "sdr": head + body + head, "short": head}.items():
+        (tmp_path / f"{name}.stdf").write_bytes(datalog(records))
+    frames = stdf_frames(stdf_files(spark, str(tmp_path), inline_bytes=10), split_bytes=20_000)
+    out = {x.path.rsplit("/", 1)[1]: x.message for x in q.validate_files(record_type_column(frames)).collect()}
+    assert out == {"good.stdf": q.VALID, "two.stdf": q.TWO_MRR, "sdr.stdf": q.OUTSIDE, "short.stdf": q.EOF}
+
+
 def test_compare_counts_and_summary(spark):
     a = spark.createDataFrame([("PTR",)] * 200 + [("MIR",)] + [("WCR",)], "record_type string")
     b = spark.createDataFrame([("PTR",)] * 50 + [("MIR",)] + [("DTR",)], "record_type string")
