@@ -116,8 +116,8 @@ def _(spark, sf):
     base = scratch_path(spark, "tables")
     for _ in range(2):
         t.write_measurements(_fact(spark, sf), base)
-    path = t.compact_dedup(spark, base, "measurements", months=[202401])
-    return spark.read.parquet(path).drop("wptm_created_date", "yyyymm").withColumn("test_flag", F.col("test_flag").cast("int"))
+    t.compact_dedup(spark, base, "measurements", months=[202401])
+    return t.read_table(spark, base, "measurements").drop("wptm_created_date", "yyyymm").withColumn("test_flag", F.col("test_flag").cast("int"))
 
 
 @query("S17_drop_equal_rows", "SELECT DISTINCT text, lang FROM documents")
