@@ -7,6 +7,9 @@ from catalog.registry import query
 from catalog.views import NUMBER_PREFIX, SAFE_FLOAT, VALUES_SKIP, table, view, with_views
 from dieflow import functions as fn
 from dieflow.functions.sqlfunctions import register_sql_functions
+from dieflow.sources.decode import decode_other
+from dieflow.sources.frames import stdf_frames
+from fixtures.datalogs import datalog_files
 
 KEYS = ("path", "record_index")
 
@@ -191,12 +194,13 @@ def _(spark, sf):
 
 @query("F20_flag_bits", """
 SELECT p_partkey, (p_partkey & 1) <> 0 AS new_id, (p_partkey & 2) <> 0 AS new_coord, (p_partkey & 4) <> 0 AS aborted, (p_partkey & 8) <> 0 AS failed,
-       (p_partkey & 16) <> 0 AS no_indication, (p_partkey & 1) <> 0 AS min_invalid, (p_partkey & 32) <> 0 AS sqrs_invalid FROM part""")
+       (p_partkey & 16) <> 0 AS no_indication, (p_partkey & 1) <> 0 AS min_invalid, (p_partkey & 2) <> 0 AS max_invalid, (p_partkey & 4) <> 0 AS tim_invalid,
+       (p_partkey & 16) <> 0 AS sums_invalid, (p_partkey & 32) <> 0 AS sqrs_invalid FROM part""")
 def _(spark, sf):
     part, tsr = fn.part_flags(F.col("p_partkey")), fn.tsr_flags(F.col("p_partkey"))
     return table(spark, sf, "part").select(
         "p_partkey", *[part[n].alias(n) for n in ("new_id", "new_coord", "aborted", "failed", "no_indication")],
-        *[tsr[n].alias(n) for n in ("min_invalid", "sqrs_invalid")])
+        *[tsr[n].alias(n) for n in ("min_invalid", "max_invalid", "tim_invalid", "sums_invalid", "sqrs_invalid")])
 
 
 @query("F21_code_label", """
@@ -208,11 +212,10 @@ def _(spark, sf):
         "p_partkey", fn.code_label("mode", F.substring("p_type", 1, 1)).alias("mode"), fn.code_label("units", F.col("p_size") % 6).alias("units"))
 
 
-@query("F22_epoch_ts", "SELECT o_orderkey, o_orderkey * 86400 AS seconds, o_orderkey AS days FROM orders")
+@query("F22_epoch_ts", "SELECT o_orderkey, strftime(TIMESTAMP '1970-01-01 00:00:00' + to_seconds(o_orderkey * 86399), '%Y-%m-%d %H:%M:%S') AS moment FROM orders")
 def _(spark, sf):
-    ts, zero = fn.epoch_ts(F.col("o_orderkey") * 86400), fn.epoch_ts(F.lit(0))
-    return table(spark, sf, "orders").select(
-        "o_orderkey", F.unix_seconds(ts).alias("seconds"), F.floor((F.unix_seconds(ts) - F.unix_seconds(zero)) / 86400).alias("days"))
+    moment = F.date_format(fn.epoch_ts(F.col("o_orderkey") * 86399), "yyyy-MM-dd HH:mm:ss")
+    return table(spark, sf, "orders").select("o_orderkey", moment.alias("moment"))
 
 
 @query("F23_yyyymm", with_views(
@@ -229,13 +232,12 @@ def _(spark, sf):
     return view(spark, sf, "test_records").select(*KEYS, fn.synthetic_wld_id(F.col("path"), F.col("record_index")).alias("wld_id"))
 
 
-@query("F25_generic_values", with_views("""
-SELECT path, record_index, 'U4' AS tag, CAST(test_num AS VARCHAR) AS value FROM test_records
-UNION ALL SELECT path, record_index, 'Cn', test_txt FROM test_records""", "test_records"))
+@query("F25_generic_values", " UNION ALL ".join(
+    f"SELECT concat('p', p_partkey, '.stdf', CASE WHEN p_partkey % 3 = 0 THEN '.gz' ELSE '' END) AS path, '{tag}' AS tag, {value} AS value FROM part"
+    for tag, value in (("U4", "CAST(p_partkey AS VARCHAR)"), ("Cn", "p_brand"), ("I2", "CAST(-p_size AS VARCHAR)"), ("N1", "CAST(p_size % 16 AS VARCHAR)"))))
 def _(spark, sf):
-    data = F.array(
-        F.struct(F.lit("U4").alias("tag"), F.col("test_num").cast("string").alias("value")), F.struct(F.lit("Cn").alias("tag"), F.col("test_txt").alias("value")))
-    return view(spark, sf, "test_records").select(*KEYS, fn.generic_values(data))
+    records = decode_other(stdf_frames(datalog_files(spark, sf), ["GDR"]), "GDR")
+    return records.select("path", fn.generic_values(F.col("GEN_DATA")))
 
 
 @query("E1_sql_functions", with_views(r"""

@@ -190,18 +190,24 @@ def compare_fields(left: DataFrame, right: DataFrame, keys: tuple[str, ...] = ("
     left (only there) or right.
     """
 
-    def entries(df: DataFrame, value: str) -> DataFrame:
-        pairs = df.select(*keys, F.explode("fields").alias("name", "v"))
-        return pairs.select(*keys, normalize_name(F.col("name")).alias("field"), F.trim(F.coalesce("v", F.lit(""))).alias(value))
-
-    joined = entries(left, "left_value").join(entries(right, "right_value"), [*keys, "field"], "full_outer")
-    status = (
-        F.when(F.col("right_value").isNull(), "left")
-        .when(F.col("left_value").isNull(), "right")
-        .when(F.col("left_value") == F.col("right_value"), "equal")
-        .otherwise("different")
+    def texts(df: DataFrame, name: str) -> DataFrame:
+        """The record's fields by normalised name; of two that become one, the first."""
+        pairs = F.transform(F.map_entries("fields"), lambda e: F.struct(normalize_name(e["key"]).alias("key"), F.trim(F.coalesce(e["value"], F.lit(""))).alias("value")))
+        first = F.filter(F.col("_pairs"), lambda e, i: F.array_position(F.col("_pairs.key"), e["key"]) == i + 1)
+        return df.select(*keys, pairs.alias("_pairs")).select(*keys, F.map_from_entries(first).alias(name))
+
+    # One row per record is shuffled; fields are told apart only after the join.
+    joined = texts(left, "_left").join(texts(right, "_right"), [*keys], "full_outer")
+    nothing = F.create_map().cast("map<string,string>")
+    both = F.map_zip_with(
+        F.coalesce("_left", nothing), F.coalesce("_right", nothing),
+        lambda _, a, b: F.struct(
+            F.when(b.isNull(), "left").when(a.isNull(), "right").when(a == b, "equal").otherwise("different").alias("status"),
+            a.alias("left_value"), b.alias("right_value"),
+        ),
     )
-    return joined.select(*keys, "field", status.alias("status"), "left_value", "right_value", F.col("field").isin(*KEY_FIELDS).alias("is_key"))
+    rows = joined.select(*keys, F.explode(both).alias("field", "_found"))
+    return rows.select(*keys, "field", "_found.status", "_found.left_value", "_found.right_value", F.col("field").isin(*KEY_FIELDS).alias("is_key"))
 
 
 def compare_fields_summary(compared: DataFrame) -> DataFrame:

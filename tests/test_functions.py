@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from dieflow import functions as fn
+from dieflow.functions import jsonfields, numbers
+from dieflow.functions.sqlfunctions import register_sql_functions
 
 
 def values(spark, inputs, schema, *columns):
@@ -93,3 +95,31 @@ def test_binary(spark):
 def test_synthetic_id_repeats_and_is_positive(spark):
     ids = values(spark, ["a", "a", "b"], "string", fn.synthetic_wld_id(X, F.lit(5)))
     assert ids[0] == ids[1] != ids[2] and all(5 <= i <= 0x7FFFFFFF + 5 for i in ids)
+
+
+ODD_TEXTS = [
+    None, "", " ", "1", " 1 ", "\t1\t", "1.5V", "-2", "+3.25e2", "1e400", "256", "-7", "18446744073709551616", "99999999999", "abc", "1,2.5,x,3V", ",,", "Pixel=R1C2",
+    "a;Pixel=R3C40;b", "Pixel=R3C4;name", "Pixel=R99999999999C1", "pixel=R1C1", "'quo\"ted'", "\"a modSum:part two;rest\"", "modSum", "REC_STDF_x", "stdf_rec", "P", "Y", "20",
+    "[1, 2.5]", "[bad", "1.0",
+]
+
+
+def test_sql_functions_equal_their_columns(spark):
+    names = register_sql_functions(spark)
+    c, flag = F.col("x"), F.col("i")
+    pairs = {
+        "safe_float(x)": fn.safe_float(c), "safe_int(x)": fn.safe_int(c), "safe_uint8(x)": fn.safe_uint(c, 8), "safe_uint64(x)": fn.safe_uint(c, 64),
+        "number_prefix(x)": fn.number_prefix(c), "int_prefix(x)": numbers.int_prefix(c), "parse_values(x)": fn.parse_values(c), "pixel_x(x)": fn.pixel_xy(c)["x"],
+        "pixel_y(x)": fn.pixel_xy(c)["y"], "is_pixel_test(x, x)": fn.is_pixel_test(c, c), "clean_param(x)": fn.clean_param(c),
+        "clean_param_modsum(x)": fn.clean_param_modsum(c), "clean_param_basic(x)": fn.clean_param_basic(c), "normalize_name(x)": fn.normalize_name(c),
+        "pass_flag(x)": fn.pass_flag(c), "bin_desc(x)": fn.bin_desc(c), "code_label('mode', x)": fn.code_label("mode", c), "code_label('radix', x)": fn.code_label("radix", c),
+        "part_flags(i)": fn.part_flags(flag), "tsr_flags(i)": fn.tsr_flags(flag), "record_type_name(15, i)": fn.record_type_name(F.lit(15), flag),
+        "nibbles(b, i)": fn.nibbles(F.col("b"), flag), "json_uint(x)": jsonfields.json_uint(c), "json_int(x)": jsonfields.json_int(c), "json_float(x)": jsonfields.json_float(c),
+        "json_string(x)": jsonfields.json_string(c), "json_array(x)": jsonfields.json_array(c, "double"), "epoch_ts(i)": fn.epoch_ts(flag), "yyyymm(epoch_ts(i))": fn.yyyymm(fn.epoch_ts(flag)),
+    }
+    assert {p.split("(")[0] for p in pairs} == {n.removeprefix("df_") for n in names}
+    rows = [(t, i, bytes([i, 255 - i])) for i, t in enumerate(ODD_TEXTS)]
+    df = spark.createDataFrame(rows, "x string, i int, b binary")
+    calls = {call: F.expr("df_" + call.replace("(epoch_ts", "(df_epoch_ts")) for call in pairs}
+    wrong = df.select("x", "i", *[F.struct(calls[p].alias("sql"), pairs[p].alias("col"), calls[p].eqNullSafe(pairs[p]).alias("same")).alias(p) for p in pairs]).collect()
+    assert [(r.x, p, r[p]) for r in wrong for p in pairs if not r[p].same] == []
