@@ -126,7 +126,8 @@ def _(spark, sf):
 
 
 @query("A12_load_summary", with_views("""
-SELECT status, count(*) AS files, sum(measurements)::BIGINT AS measurements, sum(elapsed) AS elapsed, sum(measurements)::DOUBLE / sum(elapsed) AS rows_per_second
+SELECT status, count(*) AS files, sum(measurements)::BIGINT AS measurements, sum(elapsed) AS elapsed, sum(measurements)::DOUBLE / sum(elapsed) AS rows_per_second,
+       avg(elapsed) AS seconds_per_file
 FROM (SELECT CASE WHEN doc_id % 10 = 0 THEN 'failed' WHEN file_hash IS NOT NULL THEN 'skipped' ELSE 'processed' END AS status,
              length(content) AS measurements, 0.25 AS elapsed FROM files LEFT JOIN loaded_hashes ON md5(content) = file_hash) GROUP BY status""", "files", "loaded_hashes"))
 def _(spark, sf):

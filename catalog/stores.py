@@ -10,8 +10,10 @@ from catalog.views import table, view, with_views
 from dieflow.operators import dedup, dims, landing, measurements as m
 from dieflow.plans import tables as t
 from dieflow.plans.landing import load_landing
+from dieflow.plans.load import LoadOptions, load_directory
 from dieflow.session import scratch_path
 from dieflow.sources import atdf, xtdf
+from dieflow.sources.frames import stdf_frames
 from dieflow.streaming.incremental import incremental_load
 from dieflow.streaming.views import landing_stream, start_view
 from fixtures.datalogs import datalog_files, lot_files, write_files
@@ -30,6 +32,16 @@ def _(spark, sf):
     return rows.groupBy("record_type", *keys).agg(F.count("*").alias("n"))
 
 
+@query("S10_line_numbers", """
+SELECT row_number() OVER (ORDER BY p_partkey) AS line, p_name AS name FROM part""")
+def _(spark, sf):
+    path = scratch_path(spark, "atdf")
+    lines = view(spark, sf, "atdf_lines")
+    lines.coalesce(1).sortWithinPartitions(F.split_part("line", F.lit("|"), F.lit(2)).try_cast("bigint")).write.text(path)
+    rows = atdf.read_atdf(spark, path, ("PTR",), ATDF_NAMES, skip=3)
+    return rows.select("line", F.col("fields")["NAME"].alias("name"))
+
+
 @query("S11_write_atdf", """
 SELECT concat_ws('|', 'PTR', CAST(p_partkey AS VARCHAR), p_name, CAST(p_size AS VARCHAR), p_type) AS value FROM part""")
 def _(spark, sf):
@@ -48,6 +60,15 @@ def _(spark, sf):
     return spark.read.text(path)
 
 
+@query("S11_write_dump_lengths", """
+SELECT value FROM (SELECT unnest([concat('Record BPS ( 20, 10) ', 1 + strlen(p_name), ' bytes:'), concat(chr(9), 'SEQ_NAME: ', p_name)]) AS value FROM part)""")
+def _(spark, sf):
+    path = scratch_path(spark, "dump")
+    lengths = stdf_frames(datalog_files(spark, sf), ["BPS"]).select("path", "record_index", "rec_len")
+    atdf.write_atdf(text_records(spark, sf, ["BPS"]).join(lengths, ["path", "record_index"]), path, form="dump")
+    return spark.read.text(path)
+
+
 @query("S12_write_xtdf", f"SELECT {PATH} AS path, 'PTR' AS record_type, p_brand AS test_txt, {PIXEL} AS alarm_id, printf('%.6f', {PRICE}) AS result FROM part")
 def _(spark, sf):
     path = scratch_path(spark, "xtdf")
@@ -202,6 +223,24 @@ def _(spark, sf):
     return ptr.join(names, "wtp_id").select(*columns).unionByName(mpr.join(names, "wtp_id").select(*columns))
 
 
+# The same load with rows before columns and duplicates told apart by the raw test flag; all parts' pixels are named by their alarm.
+@query("T3_load_options", f"""
+SELECT wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, wptm_value,
+       row_number() OVER (PARTITION BY lot, wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, flg ORDER BY s_suppkey, p_partkey, pos) - 1 AS segment
+FROM (SELECT s_suppkey % 8 AS lot, s_suppkey, p_partkey, pos, CASE WHEN s_suppkey % 7 = 0 THEN concat('T', s_suppkey) ELSE concat('S', s_suppkey % 500) END AS wld_device_dmc,
+        p_name AS wtp_param_name, p_size % 8 AS wp_pos_x, CAST(p_partkey % 4 AS INT) AS wp_pos_y, p_partkey % 4 AS flg,
+        CASE WHEN p_partkey % 3 = 2 THEN 0.0 WHEN pos = 1 THEN p_size::DOUBLE ELSE {PRICE} END AS wptm_value
+      FROM part JOIN supplier ON p_partkey % 8 = s_suppkey % 8 CROSS JOIN (VALUES (0), (1)) AS v(pos) WHERE pos = 0 OR p_partkey % 3 = 1)""")
+def _(spark, sf):
+    base, folder = scratch_path(spark, "tables"), scratch_path(spark, "incoming")
+    write_files(lot_files(spark, sf, 8), folder)
+    options = LoadOptions(pixel_mode="hints", param_source="alarm_only", axis_order="row_col", values="strict", mir_variant="direct", segment_flag="test_flg")
+    load_directory(spark, folder, base, F.lit("2024-01-15 00:00:00"), options=options)
+    fact = t.read_table(spark, base, "measurements")
+    named = fact.join(t.read_table(spark, base, "device_mapping"), "wld_id").join(t.read_table(spark, base, "parameter_info"), "wtp_id")
+    return named.select("wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "wptm_value", "segment")
+
+
 @query("T3_incremental_load", f"""
 SELECT wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, wptm_value, test_flag,
        row_number() OVER (PARTITION BY lot, wld_device_dmc, wtp_param_name, wp_pos_x, wp_pos_y, test_flag ORDER BY s_suppkey, p_partkey, pos) - 1 AS segment

@@ -106,7 +106,7 @@ def device_test_product(
 # --- segments without shuffling the product --------------------------------------------
 
 SEGMENT_KEY = ["path", "wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "test_flag"]
-_PARAM, _GROUP = ["path", "wtp_param_name"], ["path", "wld_device_dmc", "test_flag"]
+RAW_SEGMENT_KEY = [*SEGMENT_KEY[:-1], "test_flg"]
 
 
 def segment(measurements: DataFrame, key: list[str] | None = None) -> DataFrame:
@@ -115,9 +115,14 @@ def segment(measurements: DataFrame, key: list[str] | None = None) -> DataFrame:
     return number_within(measurements, key or SEGMENT_KEY, ["device_index", "record_index", "value_pos"], "segment", chunks=chunks)
 
 
-def numbered_product(devices: DataFrame, tests: DataFrame, cell_rows: int = CELL_ROWS, keep: tuple[str, ...] = ()) -> DataFrame:
+def numbered_product(
+    devices: DataFrame, tests: DataFrame, cell_rows: int = CELL_ROWS, keep: tuple[str, ...] = (), flag: str = "test_flag",
+) -> DataFrame:
     """The product with its ``segment``, numbered before the rows multiply.
 
+    Duplicates share path, device name, parameter, position and ``flag``: the device's ``test_flag`` or the
+    test's raw ``test_flg``.
+
     A test with its own pixel is *placed*, one without is *loose* and lands where the device is.
     Values that a device has at a place before a test are those of the placed tests there and,
     if it is the device's own place, those of the loose ones; both are prefix sums over the
@@ -128,19 +133,24 @@ def numbered_product(devices: DataFrame, tests: DataFrame, cell_rows: int = CELL
     Where a loose test lands on a place of placed tests of its parameter, the two lists are merged
     for that place. Parameters with tests that miss just one axis are numbered on the product.
     """
+    if flag not in ("test_flag", "test_flg"):
+        raise ValueError(f"unknown flag {flag!r}")
+    group, param = ["path", "wld_device_dmc"], ["path", "wtp_param_name"]
+    (group if flag == "test_flag" else param).append(flag)
     devices, tests = materialize(devices), materialize(tests)
     no_x, no_y = F.col("pixel_x").isNull(), F.col("pixel_y").isNull()
     n_half, n_loose = tests.agg(F.count_if(no_x != no_y), F.count_if(no_x & no_y)).first()
     out = []
     if n_half:
-        half = tests.filter(no_x != no_y).select(*_PARAM).distinct()
-        out.append(segment(device_test_product(devices, tests.join(half, _PARAM, "left_semi"), cell_rows, keep)))
-        tests = materialize(tests.join(half, _PARAM, "left_anti"))
-    devices = number_within(devices, _GROUP, ["device_index"], "_rank")
+        half = tests.filter(no_x != no_y).select(*param).distinct()
+        key = SEGMENT_KEY if flag == "test_flag" else RAW_SEGMENT_KEY
+        out.append(segment(device_test_product(devices, tests.join(half, param, "left_semi"), cell_rows, keep), key))
+        tests = materialize(tests.join(half, param, "left_anti"))
+    devices = number_within(devices, group, ["device_index"], "_rank")
     size = F.size("values")
-    placed = number_within(tests.filter(~no_x), [*_PARAM, "pixel_x", "pixel_y"], ["record_index"], "_before", weight=size, total="_total")
+    placed = number_within(tests.filter(~no_x), [*param, "pixel_x", "pixel_y"], ["record_index"], "_before", weight=size, total="_total")
     if n_loose:
-        out += _with_loose(devices, tests, placed, cell_rows, keep)
+        out += _with_loose(devices, tests, placed, cell_rows, keep, group, param)
     else:
         out.append(_numbered(devices, placed, F.col("_rank") * F.col("_total") + F.col("_before"), cell_rows, keep))
     rows = out[0]
@@ -157,18 +167,20 @@ def _numbered(devices: DataFrame, tests: DataFrame, before: Column, cell_rows: i
     return rows.drop(*[c for c in (*extra, "default_x", "default_y") if c not in keep])
 
 
-def _with_loose(devices: DataFrame, tests: DataFrame, placed: DataFrame, cell_rows: int, keep: tuple[str, ...]) -> list[DataFrame]:
+def _with_loose(
+    devices: DataFrame, tests: DataFrame, placed: DataFrame, cell_rows: int, keep: tuple[str, ...], group: list[str], param: list[str],
+) -> list[DataFrame]:
     """The product's parts where some tests are loose."""
     size, is_loose = F.size("values"), F.col("pixel_x").isNull()
     here = {"default_x": "pixel_x", "default_y": "pixel_y"}
-    ranked = materialize(number_within(devices, [*_GROUP, *here], ["device_index"], "_rank_here"))
+    ranked = materialize(number_within(devices, [*group, *here], ["device_index"], "_rank_here"))
     # Loose values of the parameter before each test, placed or loose.
     weight = F.when(is_loose, size).otherwise(0)
-    merged = number_within(tests, _PARAM, ["record_index"], "_loose_before", weight=weight, total="_loose_total")
+    merged = number_within(tests, param, ["record_index"], "_loose_before", weight=weight, total="_loose_total")
     placed = materialize(placed.join(merged.select("path", "record_index", "_loose_before", "_loose_total"), ["path", "record_index"]))
     loose = materialize(merged.filter(is_loose))
     # Places of placed tests at which loose ones of their parameter land.
-    places = placed.filter("_loose_total > 0").select(*_PARAM, "pixel_x", "pixel_y").distinct()
+    places = placed.filter("_loose_total > 0").select(*param, "pixel_x", "pixel_y").distinct()
     at = ranked.select("path", *[F.col(a).alias(b) for a, b in here.items()]).distinct()
     shared = materialize(places.join(at, ["path", "pixel_x", "pixel_y"]))
     alone = F.col("_rank_here") * F.col("_loose_total") + F.col("_loose_before")
@@ -177,16 +189,16 @@ def _with_loose(devices: DataFrame, tests: DataFrame, placed: DataFrame, cell_ro
         return [_numbered(ranked, placed, by_place, cell_rows, keep), _numbered(ranked, loose, alone, cell_rows, keep)]
 
     # Loose tests elsewhere: a device names the parameters that meet placed tests where it is.
-    meeting = shared.groupBy("path", *[F.col(b).alias(a) for a, b in here.items()]).agg(F.collect_set("wtp_param_name").alias("_meets"))
+    meeting = shared.groupBy("path", *[F.col(b).alias(a) for a, b in here.items()]).agg(F.collect_set(F.struct(*param[1:])).alias("_meets"))
     marked = materialize(ranked.join(meeting, ["path", *here], "left"))
-    apart = F.col("_meets").isNull() | ~F.array_contains("_meets", F.col("wtp_param_name"))
+    apart = F.col("_meets").isNull() | ~F.array_contains("_meets", F.struct(*param[1:]))
     out = [_numbered(marked, loose, alone, cell_rows, keep, only=apart)]
 
     # Loose tests on a shared place: both lists of the place in one order.
     spot = F.struct("path", "pixel_x", "pixel_y").alias("spot")
-    of_place = shared.select(*_PARAM, F.col("pixel_x").alias("at_x"), F.col("pixel_y").alias("at_y"))
-    both = merged.join(of_place, _PARAM).filter(is_loose | ((F.col("pixel_x") == F.col("at_x")) & (F.col("pixel_y") == F.col("at_y"))))
-    both = number_within(both, [*_PARAM, "at_x", "at_y"], ["record_index"], "_before", weight=F.when(is_loose, 0).otherwise(size), total="_total")
+    of_place = shared.select(*param, F.col("pixel_x").alias("at_x"), F.col("pixel_y").alias("at_y"))
+    both = merged.join(of_place, param).filter(is_loose | ((F.col("pixel_x") == F.col("at_x")) & (F.col("pixel_y") == F.col("at_y"))))
+    both = number_within(both, [*param, "at_x", "at_y"], ["record_index"], "_before", weight=F.when(is_loose, 0).otherwise(size), total="_total")
     landing = both.filter(is_loose).withColumns({"pixel_x": F.col("at_x"), "pixel_y": F.col("at_y")}).drop("at_x", "at_y")
     landing = materialize(landing.select("*", spot))
     there = marked.filter("_meets is not null").withColumn("spot", F.struct("path", *[F.col(a).alias(b) for a, b in here.items()]))
@@ -195,19 +207,19 @@ def _with_loose(devices: DataFrame, tests: DataFrame, placed: DataFrame, cell_ro
     # Placed tests: loose ones come before them only for devices that stand, or stood earlier, at their place.
     own = (F.col("default_x") == F.col("wp_pos_x")) & (F.col("default_y") == F.col("wp_pos_y"))
     formula = by_place + F.when(own, alone).otherwise(0)
-    moving = marked.groupBy(*_GROUP).agg(F.count_distinct(*here).alias("_places")).filter("_places > 1").drop("_places")
-    movers = materialize(marked.join(moving, _GROUP, "left_semi"))
+    moving = marked.groupBy(*group).agg(F.count_distinct(*here).alias("_places")).filter("_places > 1").drop("_places")
+    movers = materialize(marked.join(moving, group, "left_semi"))
     if movers.isEmpty():
         return [*out, _numbered(marked, placed, formula, cell_rows, keep)]
-    flagged = materialize(placed.join(shared.withColumn("_shared", F.lit(True)), [*_PARAM, "pixel_x", "pixel_y"], "left"))
+    flagged = materialize(placed.join(shared.withColumn("_shared", F.lit(True)), [*param, "pixel_x", "pixel_y"], "left"))
     plain, on_shared = flagged.filter("_shared is null").drop("_shared"), flagged.filter("_shared").drop("_shared")
-    out.append(_numbered(marked.join(moving, _GROUP, "left_anti"), placed, formula, cell_rows, keep))
+    out.append(_numbered(marked.join(moving, group, "left_anti"), placed, formula, cell_rows, keep))
     out.append(_numbered(movers, plain, by_place, cell_rows, keep))
     # Devices of one name at several places: how many stood at each shared place of the name before.
-    stands = movers.filter("_meets is not null").select(*_GROUP, *[F.col(a).alias(b) for a, b in here.items()]).distinct()
-    pairs = movers.select(*_GROUP, "device_index", *here).join(stands, _GROUP)
+    stands = movers.filter("_meets is not null").select(*group, *[F.col(a).alias(b) for a, b in here.items()]).distinct()
+    pairs = movers.select(*group, "device_index", *here).join(stands, group)
     is_there = (F.col("default_x") == F.col("pixel_x")) & (F.col("default_y") == F.col("pixel_y"))
-    stood = number_within(pairs, [*_GROUP, "pixel_x", "pixel_y"], ["device_index"], "_stood", weight=is_there.cast("int"))
+    stood = number_within(pairs, [*group, "pixel_x", "pixel_y"], ["device_index"], "_stood", weight=is_there.cast("int"))
     stood = stood.select("path", "device_index", F.col("pixel_x").alias("wp_pos_x"), F.col("pixel_y").alias("wp_pos_y"), "_stood")
     carried = (*keep, "_rank", "_before", "_total", "_loose_before", "_loose_total", "default_x", "default_y")
     rows = device_test_product(movers, on_shared, cell_rows, carried).join(materialize(stood), ["path", "device_index", "wp_pos_x", "wp_pos_y"], "left")

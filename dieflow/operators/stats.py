@@ -135,12 +135,13 @@ def partition_counts(measurements: DataFrame, key: str = "wld_id") -> DataFrame:
 
 
 def load_summary(log: DataFrame) -> DataFrame:
-    """Per status: files, measurements, elapsed seconds and rows per second."""
+    """Per status: files, measurements, elapsed seconds, rows per second and seconds per file."""
     return log.groupBy("status").agg(
         F.count("*").alias("files"),
         F.coalesce(F.sum("measurements"), F.lit(0)).alias("measurements"),
         F.coalesce(F.sum("elapsed"), F.lit(0.0)).alias("elapsed"),
         F.coalesce(F.sum("measurements") / F.nullif(F.sum("elapsed"), F.lit(0.0)), F.lit(0.0)).alias("rows_per_second"),
+        F.coalesce(F.avg("elapsed"), F.lit(0.0)).alias("seconds_per_file"),
     )
 
 

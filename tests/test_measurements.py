@@ -24,7 +24,7 @@ def made(spark, seed, n_devices=40, n_tests=60, hot=0.6, loose=0.0):
     return devices, tests, spark.createDataFrame(devices, DEV), spark.createDataFrame(tests, TEST)
 
 
-def brute(devices, tests):
+def brute(devices, tests, raw=False):
     seen, out = defaultdict(int), {}
     for d in sorted(devices, key=lambda d: d[1]):
         for t in sorted(tests, key=lambda t: t[1]):
@@ -33,7 +33,7 @@ def brute(devices, tests):
             x = t[7] if t[7] is not None else d[6]
             y = t[8] if t[8] is not None else d[7]
             for pos, value in enumerate(t[6]):
-                key = (d[0], d[2], t[5], x, y, d[5])
+                key = (d[0], d[2], t[5], x, y, t[4] if raw else d[5])
                 out[(d[1], t[1], pos)] = (x, y, value, seen[key])
                 seen[key] += 1
     return out
@@ -83,6 +83,13 @@ def test_loose_tests_in_every_shape(spark, shape):
     assert got(m.numbered_product(dd, tt, cell_rows=50)) == brute(devices, tests)
 
 
+@pytest.mark.parametrize("loose", [0.0, 0.4])
+def test_duplicates_by_the_raw_flag(spark, loose):
+    devices, tests, dd, _ = made(spark, 31, loose=loose)
+    tests = [(*t[:4], i % 3, *t[5:]) for i, t in enumerate(tests)]
+    assert got(m.numbered_product(dd, spark.createDataFrame(tests, TEST), cell_rows=50, flag="test_flg")) == brute(devices, tests, raw=True)
+
+
 def test_tasks_follow_the_output(spark, monkeypatch):
     """One huge and many small files: equal shares, more tasks for more output."""
     monkeypatch.setattr(product, "LEAST_ROWS", 100)
