@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from dieflow.llm.common import Scratch
 from dieflow.llm.token_counts import PATTERN, byte_letters
-from dieflow.llm.words import ODD, Cache
+from dieflow.llm.words import Cache, is_plain
 
 # Characters of text aligned together, and characters whose token pairs are named together.
 PART, BLOCK = 1 << 20, 1 << 23
@@ -99,7 +99,7 @@ class Pair:
         Where single spaces and line breaks are the only white space, no token crosses the
         place before one, so a text is cut there. Other texts are encoded whole.
         """
-        cut = [t.replace("\n", " \n").split(" ") if t and _plain(t) else None for t in texts]
+        cut = [t.replace("\n", " \n").split(" ") if t and is_plain(t) else None for t in texts]
         known = [w.learn([c for c in cut if c]) or w for w in self.words] if any(cut) else self.words
         out: list[tuple[np.ndarray, np.ndarray] | None] = []
         for text, keys in zip(texts, cut):
@@ -115,11 +115,6 @@ class Pair:
         return out
 
 
-def _plain(text: str) -> bool:
-    odd = "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n"
-    return not (odd or ODD.search(text))
-
-
 @functools.lru_cache(maxsize=1)
 def tokenizers(path_a: str, path_b: str) -> Pair:
     return Pair(byte_level(path_a), sentence_pieces(path_b))

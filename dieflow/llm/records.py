@@ -23,14 +23,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dieflow.llm.words import Cache, keys, pieces
+from dieflow.llm.words import SPACE, Cache, is_plain, keys, pieces, unit
+from dieflow.sources.frames import gather
 
 # CRC-32C polynomial (reflected) and the mask of record files.
 POLYNOMIAL = 0x82F63B78
 MASK = 0xA282EAD8
 LANE = 512
 # Characters encoded together; records read together.
-BLOCK = 1 << 21
+BLOCK = 1 << 23
+# Units encoded as one text.
+TOGETHER = 1 << 12
+# Units whose ids a worker keeps.
+CACHE = 1_000_000
 READ = 1 << 23
 # Schemes whose files pyarrow opens; extend for other stores.
 SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
@@ -132,6 +137,20 @@ def unframed(data: bytes) -> tuple[list[bytes], int]:
     return bodies, at
 
 
+class Units(Cache):
+    """A cache that, when full, keeps what the block at hand needs."""
+
+    def learn(self, lists: list[list[str]]) -> None:
+        wanted = set().union(*lists)
+        new = wanted.difference(self.keys())
+        if len(self) + len(new) > self.limit:
+            kept = {k: self[k] for k in wanted.difference(new)}
+            self.clear()
+            self.update(kept)
+        new = list(new)
+        self.update(zip(new, self.compute([unit(k) for k in new])))
+
+
 class Encoder:
     """Token ids of whole texts by the tokenizers library; each distinct unit is encoded once per worker."""
 
@@ -142,30 +161,63 @@ class Encoder:
         self.wide = 4 if self.library.get_vocab_size() > 1 << 16 else 2
         self.kind = "<u4" if self.wide == 4 else "<u2"
         self.special = [x.content for x in self.library.get_added_tokens_decoder().values()]
-        self.units = Cache(self._units)
+        # Bytes of each token: a letter stands for a byte.
+        self.sizes = np.zeros(self.library.get_vocab_size(), np.int64)
+        for token, i in self.library.get_vocab().items():
+            self.sizes[i] = len(token)
+        self.units = Units(self._units, CACHE)
         line = self.library.encode("\nx", add_special_tokens=False).ids
         self.cut = self.wide * (len(line) - 1)
 
     def _units(self, units: list[str]) -> list[bytes]:
-        return [np.array(x.ids, self.kind).tobytes() for x in self.library.encode_batch_fast(units, add_special_tokens=False)]
+        """Ids of each unit. No token crosses the start of white space behind something else, so such units are encoded many at a time."""
+        out: list[bytes] = [b""] * len(units)
+        safe = [u[0] in SPACE and u[-1] not in SPACE for u in units]
+        alone = [i for i, ok in enumerate(safe) if not ok]
+        whole = [i for i, ok in enumerate(safe) if ok]
+        parts = [whole[at:at + TOGETHER] for at in range(0, len(whole), TOGETHER)]
+        texts = [[units[i] for i in part] for part in parts]
+        for part, text, found in zip(parts, texts, self.library.encode_batch_fast(list(map("".join, texts)), add_special_tokens=False)):
+            ids = np.array(found.ids, self.kind)
+            ends, upto = np.cumsum(self.sizes[ids]), np.cumsum([len(u.encode()) for u in text])
+            stops = np.searchsorted(ends, upto) + 1
+            if ends[-1] != upto[-1] or (ends[stops - 1] != upto).any():
+                alone += part
+                continue
+            packed = ids.tobytes()
+            for i, lo, hi in zip(part, [0, *(stops[:-1] * self.wide).tolist()], (stops * self.wide).tolist()):
+                out[i] = packed[lo:hi]
+        for i, found in zip(alone, self.library.encode_batch_fast([units[i] for i in alone], add_special_tokens=False)):
+            out[i] = np.array(found.ids, self.kind).tobytes()
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as bytes. A text holding a special string goes to the library in one piece."""
         out: list[bytes] = []
-        block: list[tuple[int, list[str], bool]] = []
-        size = 0
+        plain: list[int] = []
+        other: list[tuple[int, list[str], bool]] = []
+        size = rest = 0
         for i, text in enumerate(texts):
             out.append(b"")
             if text and any(x in text for x in self.special):
                 out[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
-                continue
-            for piece in pieces(text or ""):
-                block.append((i, *keys(piece)))
-                size += len(piece)
+            elif text and len(text) <= BLOCK and is_plain(text):
+                plain.append(i)
+                size += len(text)
                 if size >= BLOCK:
-                    self._add(out, block)
-                    block, size = [], 0
-        self._add(out, block)
+                    self._add_plain(out, texts, plain)
+                    plain, size = [], 0
+            else:
+                # Piece by piece, so that the units of a very long text are never all held.
+                for piece in pieces(text or ""):
+                    found, extra = keys(piece)
+                    other.append((i, found, extra))
+                    rest += len(piece)
+                    if rest >= BLOCK:
+                        self._add(out, other)
+                        other, rest = [], 0
+        self._add_plain(out, texts, plain)
+        self._add(out, other)
         return out
 
     def _add(self, out: list[bytes], block: list[tuple[int, list[str], bool]]) -> None:
@@ -175,6 +227,26 @@ class Encoder:
             ids = b"".join(map(get, found))
             out[i] += ids[self.cut:] if extra else ids
 
+    def _add_plain(self, out: list[bytes], texts: list[str], plain: list[int]) -> None:
+        """Texts cut at every space and line break: each distinct unit of the block is looked up once, and its ids are copied to its places."""
+        if not plain:
+            return
+        cut = pa.compute.split_pattern(pa.array(["\n" + texts[i].replace("\n", " \n") for i in plain]), " ")
+        units = cut.flatten().dictionary_encode()
+        known = units.dictionary.to_pylist()
+        self.units.learn([known])
+        ids = list(map(self.units.__getitem__, known))
+        sizes = np.array([len(x) for x in ids], np.int64)
+        at = units.indices.to_numpy()
+        source = np.frombuffer(b"".join(ids), self.kind)
+        sizes //= self.wide
+        begin = np.cumsum(sizes) - sizes
+        values, offsets = gather(source, begin[at], sizes[at])
+        ends = offsets[np.asarray(cut.offsets)].tolist()
+        lead = self.cut // self.wide
+        for i, lo, hi in zip(plain, ends, ends[1:]):
+            out[i] = values[lo + lead:hi].tobytes()
+
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:

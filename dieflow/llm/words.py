@@ -33,6 +33,13 @@ def pieces(text: str, size: int = PIECE) -> Iterable[str]:
 _CUT = re.compile(f"[^{SPACE}](?=[{SPACE}])")
 
 
+def is_plain(text: str) -> bool:
+    """Whether single spaces and line breaks inside a text that is not empty are its only white space."""
+    return not (
+        "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or ODD.search(text)
+    )
+
+
 def keys(text: str) -> tuple[list[str], bool]:
     """Units of a text as cache keys, and whether the first key has a line break too many.
 
@@ -41,10 +48,7 @@ def keys(text: str) -> tuple[list[str], bool]:
     """
     if not text:
         return [], False
-    plain = not (
-        "  " in text or " \n" in text or "\n " in text or "\n\n" in text or text[0] in " \n" or text[-1] in " \n" or ODD.search(text)
-    )
-    if plain:
+    if is_plain(text):
         return ("\n" + text).replace("\n", " \n").split(" ")[1:], True
     return ["\x00" + x for x in UNIT.findall(text)], False
 
