@@ -6,7 +6,6 @@ bounded blocks, touches only the record headers in Python and hands bodies on as
 from __future__ import annotations
 
 import bz2
-import functools
 import gzip
 import hashlib
 import zipfile
@@ -19,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from dieflow.sources.packed import PACKED, SPLIT_PACKED, MemberStream, kind_of, packed_units
 from dieflow.sources.ranges import SPLIT_BYTES, byte_order, is_far, range_units
 from dieflow.sources.registry import layout_of
 from dieflow.sources.stores import StoreFile
@@ -116,17 +116,21 @@ def _blocks(stream, little: bool, size: int | None = None) -> Iterator[tuple[byt
             return
 
 
-def walk(path: str, stream, wanted: set[int] | None, first: int = 0, stop: int | None = None, base: int = 0) -> Iterator[pa.RecordBatch]:
+def walk(
+    path: str, stream, wanted: set[int] | None, first: int = 0, stop: int | None = None, base: int = 0, head: bytes | None = None,
+) -> Iterator[pa.RecordBatch]:
     """Frames of a file, or of its bytes from ``first`` to ``stop`` with ``base`` records before.
 
-    ``wanted`` holds typ * 256 + sub.
+    ``wanted`` holds typ * 256 + sub. With ``head``, the file's first bytes, the stream stands at ``first`` already.
     """
-    head = bytes(stream.read(6))
+    placed = head is not None
+    head = head if placed else bytes(stream.read(6))
     if not is_far(head):
         yield _error_batch(path, 1, *((head[2], head[3]) if len(head) >= 4 else (None, None)), NOT_FAR)
         return
     little, version, index = byte_order(head), head[5], base
-    stream.seek(first)
+    if not placed:
+        stream.seek(first)
     for block, starts, end in _blocks(stream, little, None if stop is None else stop - first):
         if starts:
             numbers = index + 1 + np.arange(len(starts), dtype=np.int64)
@@ -223,7 +227,7 @@ def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
     """A file with a broken format gives an error row; a store that cannot be read fails the task, which then runs again."""
     for batch in batches:
         content = batch.column("content")
-        ranges = batch.select(["first", "stop", "base"]).to_pylist()
+        ranges = batch.select([c for c in ("first", "stop", "base", "packed_at") if c in batch.schema.names]).to_pylist()
         for i, path in enumerate(batch.column("path").to_pylist()):
             data = content[i].as_buffer() if content[i].is_valid else None
             if hashes and ranges[i]["first"] is None:
@@ -232,6 +236,9 @@ def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
                     with open_path(path) as stream:
                         data = pa.py_buffer(stream.read()) if stream.size() <= _WHOLE else None
                 yield _hash_batch(path, data)
+            if (at := ranges[i].get("packed_at")) is not None:
+                yield from _packed_part(path, wanted, at, ranges[i]["first"], ranges[i]["stop"], ranges[i]["base"])
+                continue
             try:
                 stream, left_out = _open(path, data)
                 with stream:
@@ -242,27 +249,40 @@ def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
                 yield _error_batch(path, 1, None, None, f"unreadable: {problem}")
 
 
-# --- what to walk ------------------------------------------------------------------------
+def _packed_part(path: str, wanted: set[int] | None, at: int, first: int, stop: int | None, base: int) -> Iterator[pa.RecordBatch]:
+    """Frames of a packed file from its member at ``at`` on, ``first`` unpacked bytes skipped."""
+    kind = kind_of(path)
+    try:
+        with open_path(path) as raw:
+            head = MemberStream(raw, 0, kind).read(6)
+            yield from walk(path, MemberStream(raw, at, kind, first), wanted, first, stop, base, head)
+    except _BROKEN as problem:
+        yield _error_batch(path, base + 1, None, None, f"unreadable: {problem}")
 
-_PACKED = (".gz", ".bz2", ".zip")
 
+# --- what to walk ------------------------------------------------------------------------
 
-def walk_units(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """What to walk: whole files, and ranges of large unpacked ones: path, content, first, stop, base."""
+def walk_units(files: DataFrame, split_bytes: int = SPLIT_BYTES, split_packed: int = SPLIT_PACKED) -> DataFrame:
+    """What to walk: whole files, ranges of large unpacked ones, members of large packed ones: path, content, first, stop, base, packed_at."""
     nothing = F.lit(None).cast("bigint")
-    whole = files.select("path", "content", nothing.alias("first"), nothing.alias("stop"), nothing.alias("base"))
+    columns = ["path", "content", "first", "stop", "base", "packed_at"]
+    whole = lambda df: df.select("path", "content", *[nothing.alias(c) for c in columns[2:]])
     if "length" not in files.columns:
-        return whole
-    packed = functools.reduce(lambda a, b: a | b, [F.endswith(F.col("path"), F.lit(x)) for x in _PACKED])
+        return whole(files)
+    is_packed = F.col("path").rlike(PACKED)
+    can_split = (~is_packed & (F.col("length") > split_bytes)) | (is_packed & ~F.endswith(F.col("path"), F.lit(".zip")) & (F.col("length") > split_packed))
     # Contents of files that are not large are not looked at here.
-    listed = files.filter((F.col("length") > split_bytes) & ~packed)
-    large = listed.filter(F.col("content").isNull()).select("path", "length")
-    if large.isEmpty():
-        return whole
-    is_large = F.col("content").isNull() & (F.col("length") > split_bytes) & ~packed
-    ranges = range_units(large, split_bytes, open_path).withColumn("content", F.lit(None).cast("binary"))
-    rest = files.filter(~is_large).select("path", "content", nothing.alias("first"), nothing.alias("stop"), nothing.alias("base"))
-    return rest.unionByName(ranges)
+    large = files.filter(can_split).filter(F.col("content").isNull()).select("path", "length")
+    kinds = [r["packed"] for r in large.select(is_packed.alias("packed")).distinct().collect()]
+    out = whole(files.filter(~(can_split & F.col("content").isNull()))) if kinds else whole(files)
+    parts = []
+    if False in kinds:
+        parts.append(range_units(large.filter(~is_packed), split_bytes, open_path).withColumn("packed_at", nothing))
+    if True in kinds:
+        parts.append(packed_units(large.filter(is_packed), split_packed, open_path))
+    for part in parts:
+        out = out.unionByName(part.withColumn("content", F.lit(None).cast("binary")).select(*columns))
+    return out
 
 
 def record_codes(types) -> set[int] | None:
@@ -271,7 +291,7 @@ def record_codes(types) -> set[int] | None:
     return {layout_of(t).typ * 256 + layout_of(t).sub for t in types}
 
 
-def stdf_frames(files: DataFrame, types: list[str] | None = None, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+def stdf_frames(files: DataFrame, types: list[str] | None = None, split_bytes: int = SPLIT_BYTES, split_packed: int = SPLIT_PACKED) -> DataFrame:
     """Raw records of each file with a 1-based record_index.
 
     ``files`` holds path and content (NULL: read by path) and, to split large files, length.
@@ -280,7 +300,7 @@ def stdf_frames(files: DataFrame, types: list[str] | None = None, split_bytes: i
     Rows with ``error`` set mark files or records that could not be read.
     """
     wanted = record_codes(types)
-    return walk_units(files, split_bytes).mapInArrow(lambda it: frame_batches(it, wanted), FRAME_SCHEMA)
+    return walk_units(files, split_bytes, split_packed).mapInArrow(lambda it: frame_batches(it, wanted), FRAME_SCHEMA)
 
 
 def _hash_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

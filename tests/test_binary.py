@@ -193,6 +193,31 @@ def test_every_range_knows_its_true_entry(tmp_path, little, monkeypatch):
                     assert len(units) == len({p // split for p in starts})
 
 
+@pytest.mark.parametrize("little", [True, False])
+@pytest.mark.parametrize("suffix, pack", [("gz", gzip.compress), ("bz2", bz2.compress)])
+def test_members_of_a_packed_file_are_units(spark, tmp_path, suffix, pack, little):
+    rng = random.Random(6)
+    data = with_vendor_records(6000, rng, little)
+    cuts = sorted({0, len(data), *(rng.randrange(len(data)) for _ in range(40))})
+    # A cut inside a header, and a member without a record's start.
+    header = starts_of(data, little)[3000]
+    cuts = sorted({*cuts, header + 1, header + 2, header + 9, header + 12})
+    pieces = [pack(data[a:b]) for a, b in zip(cuts, cuts[1:])]
+    (tmp_path / f"many.stdf.{suffix}").write_bytes(b"".join(pieces))
+    (tmp_path / f"one.stdf.{suffix}").write_bytes(pack(data))
+    (tmp_path / f"cut.stdf.{suffix}").write_bytes(b"".join(pieces)[:-5])
+    (tmp_path / f"short.stdf.{suffix}").write_bytes(b"".join([*pieces[:-1], pack(data[cuts[-2]:-3])]))
+    (tmp_path / f"text.stdf.{suffix}").write_bytes(pack(b"no datalog") * 300)
+    found = stdf_files(spark, str(tmp_path), inline_bytes=10)
+    columns = ["path", "record_index", "rec_typ", "rec_sub", "body", "error"]
+    units = fr.walk_units(found, split_packed=3000).groupBy("path").count().collect()
+    counts = {u.path.rsplit("/", 1)[1].split(".")[0]: u["count"] for u in units}
+    assert counts["many"] > 8 and counts["short"] > 8 and counts["one"] == counts["text"] == 1
+    whole, parts = fr.stdf_frames(found).select(*columns), fr.stdf_frames(found, split_packed=3000).select(*columns)
+    a, b = [sorted(df.collect(), key=lambda r: (r.path, r.record_index)) for df in (whole, parts)]
+    assert a == b and len(a) == 3 * len(starts_of(data, little)) + 2
+
+
 def test_walks_that_never_meet_leave_one_part(tmp_path):
     """Bodies of one repeated byte keep all walks apart; the rest of the file is then one part."""
     data = datalog([("DTR", {"TEXT_DAT": chr(255) * 255})] * 3000)
