@@ -11,6 +11,7 @@ import hashlib
 import zipfile
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -60,18 +61,25 @@ def open_path(path: str) -> StoreFile:
     return StoreFile(path)
 
 
-def _open(path: str, content: pa.Buffer | None):
-    """Binary stream over a file, unpacked by its suffix, and what it leaves out."""
+# What parts an archive's path from a member's name.
+MEMBER = "!/"
+
+
+@contextmanager
+def _opened(path: str, content: pa.Buffer | None) -> Iterator[Iterator[tuple[str, object]]]:
+    """The datalogs of a file, unpacked by its suffix: (path, stream). Those of an archive with several members have paths of their own."""
     raw = open_path(path) if content is None else pa.BufferReader(content)
-    if path.endswith(".gz"):
-        return gzip.GzipFile(fileobj=raw), None
-    if path.endswith(".bz2"):
-        return bz2.BZ2File(raw), None
-    if path.endswith(".zip"):
-        archive = zipfile.ZipFile(raw)
-        first, *others = archive.namelist()
-        return archive.open(first), f"archive members not read: {', '.join(others)}" if others else None
-    return raw, None
+    with raw:
+        if path.endswith(".gz"):
+            yield iter([(path, gzip.GzipFile(fileobj=raw))])
+        elif path.endswith(".bz2"):
+            yield iter([(path, bz2.BZ2File(raw))])
+        elif path.endswith(".zip"):
+            archive = zipfile.ZipFile(raw)
+            names = [m for m in archive.infolist() if not m.is_dir()]
+            yield ((path if len(names) == 1 else f"{path}{MEMBER}{m.filename}", archive.open(m)) for m in names)
+        else:
+            yield iter([(path, raw)])
 
 
 def gather(source: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -144,34 +152,36 @@ def walk(
 def positioned(path: str, wanted: set[int] | None, first: int = 0, end: int | None = None) -> Iterator[pa.RecordBatch]:
     """Frames of the records that start from ``first``, a record's start, to ``end``; record_index is the place of a record's first byte."""
     try:
-        stream, left_out = _open(path, None)
-        with stream:
-            head = bytes(stream.read(6))
-            if not is_far(head):
-                yield _error_batch(path, 0, None, None, NOT_FAR)
-                return
-            little, at = byte_order(head), first
-            stream.seek(first)
-            for block, starts, stop in _blocks(stream, little):
-                places = np.array(starts, np.int64)
-                inside = len(places) if end is None else int(np.searchsorted(places, end - at))
-                if inside:
-                    last = stop if inside == len(places) else int(places[inside])
-                    yield from _frames(path, np.frombuffer(block, np.uint8), places[:inside], last, at + places[:inside], little, head[5], wanted)
-                if inside < len(places):
-                    return
-                at += stop
-                if end is not None and at >= end:
-                    return
-            if stop < len(block):
-                left = block[stop:]
-                yield _error_batch(path, at, *((left[2], left[3]) if len(left) >= 4 else (None, None)), TRUNCATED)
-        if left_out:
-            yield _error_batch(path, 0, None, None, left_out)
+        with _opened(path, None) as logs:
+            for name, stream in logs:
+                yield from _positioned(name, stream, wanted, first, end)
     except _BROKEN as problem:
         yield _error_batch(path, 0, None, None, f"unreadable: {problem}")
 
 
+def _positioned(path: str, stream, wanted: set[int] | None, first: int, end: int | None) -> Iterator[pa.RecordBatch]:
+    head = bytes(stream.read(6))
+    if not is_far(head):
+        yield _error_batch(path, 0, None, None, NOT_FAR)
+        return
+    little, at = byte_order(head), first
+    stream.seek(first)
+    for block, starts, stop in _blocks(stream, little):
+        places = np.array(starts, np.int64)
+        inside = len(places) if end is None else int(np.searchsorted(places, end - at))
+        if inside:
+            last = stop if inside == len(places) else int(places[inside])
+            yield from _frames(path, np.frombuffer(block, np.uint8), places[:inside], last, at + places[:inside], little, head[5], wanted)
+        if inside < len(places):
+            return
+        at += stop
+        if end is not None and at >= end:
+            return
+    if stop < len(block):
+        left = block[stop:]
+        yield _error_batch(path, at, *((left[2], left[3]) if len(left) >= 4 else (None, None)), TRUNCATED)
+
+
 def _frames(path, data, starts, end, numbers, little, version, wanted) -> Iterator[pa.RecordBatch]:
     lengths = np.diff(np.append(starts, end)) - 4
     kinds = data[starts + 2].astype(np.int32) * 256 + data[starts + 3]
@@ -212,17 +222,29 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _hash_batch(path: str, content: pa.Buffer | None) -> pa.RecordBatch:
+def _hash_batch(path: str, content: pa.Buffer | None, stream=None) -> pa.RecordBatch:
     digest = hashlib.md5()
     if content is not None:
         digest.update(content)
     else:
-        with open_path(path) as stream:
-            while block := stream.read(_CHUNK):
+        with stream or open_path(path) as source:
+            while block := source.read(_CHUNK):
                 digest.update(block)
     return pa.RecordBatch.from_pylist([{"path": path, "record_index": 0, "rec_typ": HASH, "rec_sub": HASH, "body": digest.hexdigest().encode()}], _ARROW)
 
 
+def _hashes(path: str, content: pa.Buffer | None) -> Iterator[pa.RecordBatch]:
+    """The hash of a file, or of each member of an archive with several."""
+    several: list[pa.RecordBatch] = []
+    if path.endswith(".zip"):
+        try:
+            with _opened(path, content) as logs:
+                several = [_hash_batch(name, None, stream) for name, stream in logs if name != path]
+        except _BROKEN:
+            several = []
+    yield from several or [_hash_batch(path, content)]
+
+
 def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, hashes: bool = False) -> Iterator[pa.RecordBatch]:
     """A file with a broken format gives an error row; a store that cannot be read fails the task, which then runs again."""
     for batch in batches:
@@ -235,16 +257,14 @@ def _file_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
                     # A small file is read once, for its hash and for its records.
                     with open_path(path) as stream:
                         data = pa.py_buffer(stream.read()) if stream.size() <= _WHOLE else None
-                yield _hash_batch(path, data)
+                yield from _hashes(path, data)
             if (at := ranges[i].get("packed_at")) is not None:
                 yield from _packed_part(path, wanted, at, ranges[i]["first"], ranges[i]["stop"], ranges[i]["base"])
                 continue
             try:
-                stream, left_out = _open(path, data)
-                with stream:
-                    yield from walk(path, stream, wanted, ranges[i]["first"] or 0, ranges[i]["stop"], ranges[i]["base"] or 0)
-                if left_out:
-                    yield _error_batch(path, 1, None, None, left_out)
+                with _opened(path, data) as logs:
+                    for name, stream in logs:
+                        yield from walk(name, stream, wanted, ranges[i]["first"] or 0, ranges[i]["stop"], ranges[i]["base"] or 0)
             except _BROKEN as problem:
                 yield _error_batch(path, 1, None, None, f"unreadable: {problem}")
 
