@@ -66,14 +66,24 @@ def _table(strict: bool) -> np.ndarray:
     return np.array([[_STATES.index(_next(s, c, strict)) for s in _STATES] for c in _CLASSES], np.uint8)
 
 
-def _through(kinds: np.ndarray, table: np.ndarray) -> np.ndarray:
-    """Where each state is after a run of records. Few records of a run count, and all states soon end in errors."""
-    state = np.arange(len(_STATES), dtype=np.uint8)
+def _through(kinds: np.ndarray, begin: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Where each state is after each run of records; the k-th records of all runs are taken together.
+
+    A class that changes nothing when it comes twice in a row counts once, and a run is done
+    when all states have ended in errors, so few records of a run are looked at.
+    """
     again = np.r_[False, (kinds[1:] == kinds[:-1]) & _TWICE[kinds[1:]]]
-    for kind in kinds[~again]:
-        state = table[kind][state]
-        if (state >= len(_STATES) - len(_ERRORS)).all():
-            break
+    again[begin] = False
+    place = np.cumsum(~again) - 1
+    kept, at = kinds[~again], place[begin]
+    sizes = np.diff(np.r_[at, len(kept)])
+    state = np.tile(np.arange(len(_STATES), dtype=np.uint8), (len(begin), 1))
+    live, step = np.arange(len(begin)), 0
+    while len(live):
+        now = table[kept[at[live] + step][:, None], state[live]]
+        state[live] = now
+        step += 1
+        live = live[(sizes[live] > step) & (now < len(_STATES) - len(_ERRORS)).any(1)]
     return state
 
 
@@ -93,7 +103,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], classes: dict[str, int], table: n
         order = np.lexsort((index, code))
         code, index, kinds = code[order], index[order], kinds[order]
         begin = np.flatnonzero(np.r_[True, (code[1:] != code[:-1]) | (index[1:] != index[:-1] + 1)])
-        states = [_through(kinds[a:b], table).tobytes() for a, b in zip(begin, [*begin[1:], len(code)])]
+        states = [row.tobytes() for row in _through(kinds, begin, table)]
         columns = [paths.dictionary.take(pa.array(code[begin])), pa.array(index[begin]), pa.array(states, pa.binary()), pa.array(index[begin] // stretch)]
         yield pa.RecordBatch.from_arrays(columns, schema=_PIECE)
 
