@@ -123,7 +123,7 @@ def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_repeated_strings")
 def op9_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
+    return repeats.repeated_strings(table(spark, sf_dir, "documents"))
 
 
 @query("op10_sampled_segmentations")
