@@ -152,3 +152,47 @@ def test_mir_fallbacks(spark):
         mir = mir.withColumn(c, F.lit(c))
     row = m.mir_context(mir.withColumn("START_T", F.lit(9))).collect()[0]
     assert (row.facility, row.operation, row.lot_name, row.equipment, row.start_time) == ("FL", "SP", "L1", "NODE_NAM", "9")
+
+
+def with_half(tests):
+    """Some tests lack one axis of their pixel."""
+    return [(*t[:4], t[1] % 2, *t[5:7], None if i % 7 == 0 else t[7], None if i % 5 == 0 else t[8], t[9]) for i, t in enumerate(tests)]
+
+
+@pytest.mark.parametrize("loose", [0.0, 0.4])
+@pytest.mark.parametrize("columns", [
+    ["record_type"], ["wld_device_dmc"], ["wtp_param_name", "test_flg"], ["path", "test_flag"], ["device_index", "wp_pos_x"],
+    ["wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "test_flg"],
+])
+def test_counted_product_stands_for_all_rows(spark, loose, columns):
+    devices, tests, dd, _ = made(spark, 3, loose=loose)
+    tt = spark.createDataFrame(with_half(tests) if loose else tests, TEST)
+    want = m.device_test_product(dd, tt).groupBy(*columns).count()
+    counted = m.counted_product(dd, tt, columns)
+    got_ = counted.groupBy(*columns).agg(F.sum("n_rows").alias("count"))
+    assert Counter(map(tuple, got_.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_counted_product_has_distinct_rows_only(spark):
+    _, _, dd, tt = made(spark, 4, 200, 300, hot=1.0)
+    assert m.counted_product(dd, tt, ["test_flag"]).count() == 2  # 200 x 300 tests make 60,000 rows and more
+    assert m.counted_product(dd, tt, ["wld_device_dmc"]).count() == 6
+    with pytest.raises(ValueError, match="single values"):
+        m.counted_product(dd, tt, ["wptm_value"])
+
+
+@pytest.mark.parametrize("loose", [0.0, 0.4])
+def test_duplicates_from_one_name_of_each_kind(spark, loose):
+    devices, tests, dd, _ = made(spark, 5, 60, 80, loose=loose)
+    # Ten more names that are like "d0".
+    twins = [(d[0], 1000 + 100 * i + d[1], f"e{i}", *d[3:]) for i in range(10) for d in devices if d[2] == "d0"]
+    dd = spark.createDataFrame(devices + twins, DEV)
+    tt = spark.createDataFrame(with_half(tests) if loose else tests, TEST)
+    key = ["wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "test_flg"]
+    rows = m.device_test_product(dd, tt)
+    few, one = m.alike_names(dd, tt, key, 12), m.alike_names(dd, tt, key)
+    assert one[0].select("wld_device_dmc").distinct().count() <= 6
+    top = dedup.top_duplicates(m.counted_product(*few, key), key, 12, "n_rows")
+    assert top.collect() == dedup.top_duplicates(rows, key, 12).select(*top.columns).collect()
+    counted = m.counted_product(*one, [*key, "_devices_alike", "_tests_alike"]).withColumn("n_keys", F.col("_devices_alike") * F.col("_tests_alike"))
+    assert dedup.duplicate_summary(counted, key, 2, "n_rows", "n_keys").collect() == dedup.duplicate_summary(rows, key, 2).collect()
