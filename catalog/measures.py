@@ -239,7 +239,10 @@ _KEY = ["wld_device_dmc", "wtp_param_name", "wp_pos_x", "wp_pos_y", "test_flg"]
 SELECT count(*) AS unique_keys, max(n) - 1 AS max_segment, count(*) FILTER (n > 6) AS keys_over_limit, sum(greatest(n - 6, 0))::BIGINT AS segments_over_limit
 FROM (SELECT count(*) AS n FROM prod GROUP BY {', '.join(_KEY)})""", "prod"))
 def _(spark, sf):
-    return dedup.duplicate_summary(product(spark, sf), _KEY, limit=5)
+    d, t = m.alike_names(devices(spark, sf), tests(spark, sf), _KEY)
+    rows = m.counted_product(d, t, [*_KEY, "_devices_alike", "_tests_alike"])
+    rows = rows.withColumn("n_keys", F.col("_devices_alike") * F.col("_tests_alike"))
+    return dedup.duplicate_summary(rows, _KEY, limit=5, rows="n_rows", keys="n_keys")
 
 
 @query("A13_top_duplicates", with_views(f"""
