@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.measures import devices, product, tests
+from catalog.measures import counted, devices, product, tests
 from catalog.registry import query
 from catalog.views import view, with_views
 from dieflow.operators import quality, records as r, stats, wafer
@@ -36,7 +36,10 @@ SELECT 'wld_device_dmc' AS entity, count(DISTINCT wld_device_dmc) AS n_distinct
 UNION ALL SELECT 'wtp_param_name', count(DISTINCT wtp_param_name) FROM prod WHERE wtp_param_name <> ''
 UNION ALL SELECT 'test_num', count(DISTINCT test_num) FROM prod""", "prod"))
 def _(spark, sf):
-    return stats.distinct_entities(product(spark, sf), ["wld_device_dmc", "wtp_param_name", "test_num"])
+    first, *others = [stats.distinct_entities(counted(spark, sf, c), [c]) for c in ("wld_device_dmc", "wtp_param_name", "test_num")]
+    for other in others:
+        first = first.unionByName(other)
+    return first
 
 
 @query("A4_measurement_stats", with_views("""

@@ -44,26 +44,35 @@ def distinct_entities(df: DataFrame, columns: list[str], approximate: bool = Fal
     return values.groupBy("entity").agg(F.count("*").alias("n_distinct"))
 
 
-def measurement_stats(measurements: DataFrame) -> DataFrame:
-    """One row: total and per test type."""
+def _n_rows(rows: str | None, condition: Column | None = None) -> Column:
+    """Number of rows, each one or what its column ``rows`` says, that meet a condition."""
+    if rows is None:
+        return F.count("*") if condition is None else F.count_if(condition)
+    return F.coalesce(F.sum(rows if condition is None else F.when(condition, F.col(rows))), F.lit(0).cast("bigint"))
+
+
+def measurement_stats(measurements: DataFrame, rows: str | None = None) -> DataFrame:
+    """One row: total and per test type; ``rows`` names a column with the measurements that a row stands for."""
     of = F.col("record_type")
     return measurements.agg(
-        F.count("*").alias("total"),
-        F.count_if(of == "PTR").alias("ptr"),
-        F.count_if(of == "MPR").alias("mpr"),
-        F.count_if(of == "FTR").alias("ftr"),
+        _n_rows(rows).alias("total"),
+        _n_rows(rows, of == "PTR").alias("ptr"),
+        _n_rows(rows, of == "MPR").alias("mpr"),
+        _n_rows(rows, of == "FTR").alias("ftr"),
     )
 
 
-def flag_distribution(measurements: DataFrame) -> DataFrame:
-    """Measurements by raw test flag."""
-    return measurements.groupBy("test_flg").agg(F.count("*").alias("n"))
+def flag_distribution(measurements: DataFrame, rows: str | None = None) -> DataFrame:
+    """Measurements by raw test flag; ``rows`` as in ``measurement_stats``."""
+    return measurements.groupBy("test_flg").agg(_n_rows(rows).alias("n"))
 
 
-def id_distribution(df: DataFrame, column: str, n: int | None = None, first_rows: int | None = None, order: list[str] | None = None) -> DataFrame:
-    """Rows and percent per id, most frequent first; optionally top n, or on the first rows of an order only."""
+def id_distribution(
+    df: DataFrame, column: str, n: int | None = None, first_rows: int | None = None, order: list[str] | None = None, rows: str | None = None,
+) -> DataFrame:
+    """Rows and percent per id, most frequent first; optionally top n, or on the first rows of an order only; ``rows`` as in ``measurement_stats``."""
     source = df.orderBy(*order).limit(first_rows) if first_rows else df
-    counts = source.groupBy(column).agg(F.count("*").alias("n"))
+    counts = source.groupBy(column).agg(_n_rows(rows).alias("n"))
     # One row, so the broadcast is bounded.
     total = counts.agg(F.sum("n").alias("_total"))
     rated = counts.crossJoin(F.broadcast(total)).select(column, "n", (F.col("n") * 100.0 / F.col("_total")).alias("percent"))
@@ -129,9 +138,9 @@ def per_device_counts(devices: DataFrame, tests: DataFrame) -> DataFrame:
     )
 
 
-def partition_counts(measurements: DataFrame, key: str = "wld_id") -> DataFrame:
-    """Rows per device partition."""
-    return measurements.groupBy(key).agg(F.count("*").alias("n_rows"))
+def partition_counts(measurements: DataFrame, key: str = "wld_id", rows: str | None = None) -> DataFrame:
+    """Rows per device partition; ``rows`` as in ``measurement_stats``."""
+    return measurements.groupBy(key).agg(_n_rows(rows).alias("n_rows"))
 
 
 def load_summary(log: DataFrame) -> DataFrame:
