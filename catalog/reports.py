@@ -46,7 +46,7 @@ def _(spark, sf):
 SELECT count(*) AS total, count(*) FILTER (record_type = 'PTR') AS ptr, count(*) FILTER (record_type = 'MPR') AS mpr,
        count(*) FILTER (record_type = 'FTR') AS ftr FROM prod""", "prod"))
 def _(spark, sf):
-    return stats.measurement_stats(product(spark, sf))
+    return stats.measurement_stats(counted(spark, sf, "record_type"), "n_rows")
 
 
 @query("A4_flag_distribution", with_views("SELECT test_flg, count(*) AS n FROM prod GROUP BY test_flg", "prod"))
