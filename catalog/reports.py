@@ -51,7 +51,7 @@ def _(spark, sf):
 
 @query("A4_flag_distribution", with_views("SELECT test_flg, count(*) AS n FROM prod GROUP BY test_flg", "prod"))
 def _(spark, sf):
-    return stats.flag_distribution(product(spark, sf)).withColumn("test_flg", F.col("test_flg").cast("int"))
+    return stats.flag_distribution(counted(spark, sf, "test_flg"), "n_rows").withColumn("test_flg", F.col("test_flg").cast("int"))
 
 
 @query("A5_id_distribution", with_views(
