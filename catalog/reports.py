@@ -57,7 +57,7 @@ def _(spark, sf):
 @query("A5_id_distribution", with_views(
     "SELECT wld_device_dmc, count(*) AS n, count(*) * 100.0::DOUBLE / (SELECT count(*) FROM prod) AS percent FROM prod GROUP BY wld_device_dmc", "prod"))
 def _(spark, sf):
-    return stats.id_distribution(product(spark, sf), "wld_device_dmc")
+    return stats.id_distribution(counted(spark, sf, "wld_device_dmc"), "wld_device_dmc", rows="n_rows")
 
 
 @query("A5_id_distribution_top", with_views("""
