@@ -3,7 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.measures import counted, devices, product, tests
+from catalog.measures import counted, devices, tests
 from catalog.registry import query
 from catalog.views import view, with_views
 from dieflow.operators import quality, records as r, stats, wafer
@@ -143,7 +143,7 @@ def _(spark, sf):
 
 @query("A15_partition_counts", with_views("SELECT wld_device_dmc, count(*) AS n_rows FROM prod GROUP BY wld_device_dmc", "prod"))
 def _(spark, sf):
-    return stats.partition_counts(product(spark, sf), "wld_device_dmc")
+    return stats.partition_counts(counted(spark, sf, "wld_device_dmc"), "wld_device_dmc", "n_rows")
 
 
 @query("O1_order_by_count", with_views("SELECT record_type, count(*) AS n FROM record_log GROUP BY record_type ORDER BY n DESC, record_type", "record_log"))
