@@ -5,7 +5,7 @@
     CREATE TEMPORARY VIEW ptr USING stdf OPTIONS (path '/data/in', types 'PTR', fields 'TEST_NUM, RESULT')
 
 Planning only lists files. A large file is read in ranges; each finds its own first record (see
-``ranges``), so nothing is scanned beforehand.
+``ranges``), so nothing is scanned beforehand. Small files are read many to a task.
 """
 from __future__ import annotations
 
@@ -29,6 +29,8 @@ from dieflow.sources.stores import StoreFile, opened
 _RAW = [f for f in fr.FRAME_SCHEMA if f.name not in ("path", "record_index", "error")]
 _KEYS = [T.StructField("path", T.StringType()), T.StructField("record_pos", T.LongType()), T.StructField("record_type", T.StringType())]
 _ERROR = T.StructField("error", T.StringType())
+# Bytes a task reads at most of small files, what opening a file costs in bytes, and tasks that few files are spread over.
+_TASK_BYTES, _OPEN_BYTES, _LEAST_TASKS = 32 << 20, 64 << 10, 64
 
 
 @dataclass
@@ -41,6 +43,13 @@ class Part(InputPartition):
     end: int | None = None
 
 
+@dataclass
+class Task(InputPartition):
+    """Parts that a task reads one after the other."""
+
+    parts: list[Part]
+
+
 class StdfSource(DataSource):
     """Options: path, types and fields (lists with commas), splitBytes.
 
@@ -94,30 +103,39 @@ class Records:
         kept = [f for f in infos if f.type == fs.FileType.File and f.path.endswith(tuple("." + s for s in SUFFIXES))]
         return sorted((f.mtime_ns or 0, start + f.path.lstrip("/"), f.size) for f in kept)
 
-    def parts(self, files: list[tuple[int, str, int]]) -> list[Part]:
-        out = []
-        for _, path, length in files:
-            if length <= self.split or path.endswith((".gz", ".bz2", ".zip")):
-                out.append(Part(path, length))
-            else:
-                out += [Part(path, length, at, min(at + self.split, length)) for at in range(0, length, self.split)]
-        return out
-
-    def rows(self, part: Part) -> Iterator[pa.RecordBatch]:
+    def parts(self, files: list[tuple[int, str, int]]) -> list[Task]:
+        """A task for each range of a large file and each packed file that is large; the others go together, in their order."""
+        out, group, size = [], [], 0
+        costs = [length + _OPEN_BYTES for _, _, length in files]
+        most = min(_TASK_BYTES, sum(costs) / _LEAST_TASKS)
+        for (_, path, length), cost in zip(files, costs):
+            if length > self.split and not path.endswith((".gz", ".bz2", ".zip")):
+                out += [Task([Part(path, length, at, min(at + self.split, length))]) for at in range(0, length, self.split)]
+                continue
+            if group and size + cost > most:
+                out.append(Task(group))
+                group, size = [], 0
+            group.append(Part(path, length))
+            size += cost
+        return [*out, Task(group)] if group else out
+
+    def rows(self, task: Task) -> Iterator[pa.RecordBatch]:
         wanted = fr.record_codes(self.types) if self.types else None
         layouts = {t: layout_of(t) for t in self.fields}
         arrow = to_arrow_schema(self.schema)
         names = record_names()
         # The decoder's name of the position, and an error whether asked for or not.
         inner = pa.schema([*(f.with_name("record_index") if f.name == "record_pos" else f for f in arrow), *([] if "error" in arrow.names else [pa.field("error", pa.string())])])
-        for batch in _positioned(part, wanted):
+        # The frames of small files share a batch.
+        for batch in fr.merged(frames for part in task.parts for frames in _positioned(part, wanted)):
+            if "error" not in arrow.names and batch.column("error").null_count < batch.num_rows:
+                broken = batch.filter(batch.column("error").is_valid())
+                raise ValueError(f"{broken.column('path')[0]}: {broken.column('error')[0]}")
             if self.fields:
                 found = typed_batches(batch, layouts, {t: set(n) for t, n in self.fields.items()}, inner)
             else:
                 found = [_with_type(batch, names)]
             for rows in found:
-                if "error" not in arrow.names and rows.column("error").null_count < rows.num_rows:
-                    raise ValueError(f"{part.path}: {rows.column('error').drop_null()[0]}")
                 columns = [rows.column("record_index" if n == "record_pos" else n) for n in arrow.names]
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
@@ -153,10 +171,10 @@ class StdfReader(DataSourceReader):
     def __init__(self, source: StdfSource, schema: T.StructType):
         self.records = Records(source, schema)
 
-    def partitions(self) -> list[Part]:
+    def partitions(self) -> list[Task]:
         return self.records.parts(self.records.files())
 
-    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Task) -> Iterator[pa.RecordBatch]:
         return self.records.rows(partition)
 
 
@@ -173,11 +191,11 @@ class StdfStreamReader(DataSourceStreamReader):
         files = self.records.files()
         return {"modified": files[-1][0], "path": files[-1][1]} if files else self.initialOffset()
 
-    def partitions(self, start: dict, end: dict) -> list[Part]:
+    def partitions(self, start: dict, end: dict) -> list[Task]:
         after, upto = ((x["modified"], x["path"]) for x in (start, end))
         return self.records.parts([f for f in self.records.files() if after < f[:2] <= upto])
 
-    def read(self, partition: Part) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Task) -> Iterator[pa.RecordBatch]:
         return self.records.rows(partition)
 
 

@@ -207,10 +207,11 @@ def frame_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
 
     ``hashes`` adds a frame of type HASH per whole file, its body the MD5 of the file's bytes.
     """
-    return _merged(_file_batches(batches, wanted, hashes))
+    return merged(_file_batches(batches, wanted, hashes))
 
 
-def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Small batches put together."""
     held, rows, size = [], 0, 0
     for batch in batches:
         held.append(batch)

@@ -77,3 +77,16 @@ def test_a_stream_sees_each_file_once(spark, tmp_path):
     later = os.stat(folder / "a.stdf").st_mtime + 5
     os.utime(folder / "b.stdf", (later, later))
     assert run() == 8
+
+
+def test_many_small_files_share_tasks(spark, tmp_path):
+    for i in range(1500):
+        (tmp_path / f"f{i}.stdf").write_bytes(datalog([("PTR", {"TEST_NUM": i}), ("PRR", {"PART_ID": "x"})], i % 2 == 0))
+    register(spark)
+    rows = spark.read.format("stdf").options(types="PTR", fields="TEST_NUM").load(str(tmp_path))
+    assert rows.rdd.getNumPartitions() <= 70
+    got = {(r.path.rsplit("/", 1)[-1], r.TEST_NUM) for r in rows.collect()}
+    assert got == {(f"f{i}.stdf", i) for i in range(1500)}
+    (tmp_path / "f7.stdf").write_bytes(b"no datalog")
+    with pytest.raises(Exception, match="f7.stdf: first record is not FAR"):
+        spark.read.format("stdf").option("types", "PTR").schema("TEST_NUM bigint").load(str(tmp_path)).collect()
