@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from catalog.measures import counted, devices, tests
 from catalog.registry import query
-from catalog.views import view, with_views
+from catalog.views import numbered_wafer_parts, view, with_views
 from dieflow.operators import quality, records as r, stats, wafer
 from dieflow.operators.measurements import MIR_COLUMNS, mir_context, with_mir
 
@@ -111,7 +111,7 @@ def _(spark, sf):
 SELECT path, y_coord, """ + ", ".join(f'coalesce(max(b) FILTER (x_coord = {x}), 0) AS "{x}"' for x in range(-2, 5)) + """
 FROM (SELECT path, x_coord, y_coord, arg_max(hard_bin, record_index) AS b FROM wafer_parts GROUP BY ALL) GROUP BY path, y_coord""", "wafer_parts"))
 def _(spark, sf):
-    return wafer.wafer_grid(wafer.wafer_map(view(spark, sf, "wafer_parts")), list(range(-2, 5)))
+    return wafer.wafer_grid(wafer.wafer_map(numbered_wafer_parts(spark, sf)), list(range(-2, 5)))
 
 
 @query("A10_multi_value_ratio", with_views("""

@@ -2,6 +2,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dieflow.operators.numbering import number_in_order
 
 TABLES = ("part", "supplier", "orders", "lineitem", "events", "documents")
 
@@ -161,3 +164,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         if f" {t}" in sql:
             table(spark, sf_dir, t).createOrReplaceTempView(t)
     return spark.sql(sql)
+
+
+_WAFER_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"]
+_WAFER_NUMBER = f"row_number() OVER (PARTITION BY l_suppkey % 4 ORDER BY {', '.join(_WAFER_ORDER)})"
+
+
+def numbered_wafer_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The view ``wafer_parts`` whose records are numbered without a task that sorts a whole wafer."""
+    used = [*_WAFER_ORDER, "l_quantity"]
+    lines = table(spark, sf_dir, "lineitem").select(*used, (F.col("l_suppkey") % 4).alias("_wafer"))
+    number_in_order(lines, ["_wafer"], _WAFER_ORDER, "_number").createOrReplaceTempView("numbered_lines")
+    return spark.sql(VIEWS["wafer_parts"].replace(_WAFER_NUMBER, "_number").replace("FROM lineitem", "FROM numbered_lines"))

@@ -13,6 +13,8 @@ from dieflow.session import materialize
 
 # Consecutive record numbers that share a chunk.
 CHUNK = 1 << 16
+# Rows that one task sorts at about, where whole tables are put in order.
+SORT_ROWS = 1 << 19
 
 
 def number_within(
@@ -51,6 +53,29 @@ def number_within(
     return joined.select(*df.columns, (F.col("_local") + F.coalesce("_start", F.lit(0))).alias(name), *added)
 
 
+def number_in_order(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """Add ``name``: ``row_number`` of ``order`` within ``keys``, from 1, for few keys with many rows each.
+
+    A range sort by key and order cuts a key over as many tasks as it needs; each run of a key in a sort
+    partition starts after its runs in the partitions before. Keys and order may be NULL or repeat.
+    """
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.monotonically_increasing_id()
+    ordered = materialize(
+        df.repartitionByRange(max(usual, -(-df.count() // SORT_ROWS)), *keys, *order).sortWithinPartitions(*keys, *order)
+        .withColumn("_part", F.shiftrightunsigned(place, 33))
+        .withColumn("_local", place.bitwiseAND(F.lit((1 << 33) - 1)))
+    )
+    runs = ordered.groupBy("_part", *keys).agg(F.count("*").alias("_size"), F.min("_local").alias("_first"))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0)) - F.col("_first") + 1
+    starts = runs.select(F.col("_part").alias("_of_part"), *[F.col(k).alias(f"_of_{k}") for k in keys], before.alias("_before"))
+    same = [F.col("_part") == F.col("_of_part"), *[F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]]
+    # A row per sort partition, and one more where a key begins inside of it, so the broadcast is bounded.
+    numbered = ordered.join(F.broadcast(starts), same)
+    return numbered.select(*df.columns, (F.col("_local") + F.col("_before")).cast("bigint").alias(name))
+
+
 def number_all(df: DataFrame, order: list[str], name: str, start: int | Column = 0) -> DataFrame:
     """Add ``name``: dense numbers from ``start`` over the whole table in ``order``.
 

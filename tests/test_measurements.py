@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from dieflow.operators import dedup, dims, measurements as m, numbering, product
 
@@ -196,3 +196,22 @@ def test_duplicates_from_one_name_of_each_kind(spark, loose):
     assert top.collect() == dedup.top_duplicates(rows, key, 12).select(*top.columns).collect()
     counted = m.counted_product(*one, [*key, "_devices_alike", "_tests_alike"]).withColumn("n_keys", F.col("_devices_alike") * F.col("_tests_alike"))
     assert dedup.duplicate_summary(counted, key, 2, "n_rows", "n_keys").collect() == dedup.duplicate_summary(rows, key, 2).collect()
+
+
+def test_row_numbers_of_long_keys_equal_the_window(spark):
+    rng = random.Random(6)
+    pick = lambda values: rng.choice([None, *values])
+    data = [(pick("ab"), pick(range(40)), i) for i in range(3000)]
+    df = spark.createDataFrame(data, "k string, a int, b int").repartition(7)
+    got_ = numbering.number_in_order(df, ["k"], ["a", "b"], "n")
+    want = df.withColumn("n", F.row_number().over(Window.partitionBy("k").orderBy("a", "b")).cast("bigint"))
+    assert Counter(map(tuple, got_.collect())) == Counter(map(tuple, want.collect()))
+
+
+def test_wafer_parts_equal_their_view(spark):
+    from catalog import views
+
+    want = views.view(spark, "/root/testdata/sf0.001", "wafer_parts")
+    got_ = views.numbered_wafer_parts(spark, "/root/testdata/sf0.001")
+    assert got_.schema.simpleString() == want.schema.simpleString()
+    assert got_.exceptAll(want).count() == 0 and want.exceptAll(got_).count() == 0
