@@ -104,7 +104,7 @@ def _(spark, sf):
 SELECT path, x_coord, y_coord, arg_max(hard_bin, record_index) AS hard_bin, arg_max(soft_bin, record_index) AS soft_bin
 FROM wafer_parts GROUP BY ALL""", "wafer_parts"))
 def _(spark, sf):
-    return wafer.wafer_map(view(spark, sf, "wafer_parts"))
+    return wafer.wafer_map(numbered_wafer_parts(spark, sf))
 
 
 @query("A9_wafer_grid", with_views("""
