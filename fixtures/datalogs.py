@@ -16,6 +16,9 @@ from fixtures.encode import datalog
 
 COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
 
+# Files that a task holds at a time.
+SLICE = 500
+
 # Order of records in each file after FAR.
 SEQUENCE = [
     "ATR", "MIR", "RDR", "SDR", "PMR", "PGR", "PLR", "WCR", "WIR", "PIR", "BPS", "PTR", "MPR", "FTR", "EPS", "PRR", "WRR",
@@ -80,8 +83,9 @@ def datalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def build(batches):
         for pdf in batches:
-            rows = list(pdf.itertuples())
-            yield pd.DataFrame({"path": [part_path(p) for p in rows], "content": [part_file(p) for p in rows]})
+            for at in range(0, len(pdf), SLICE):
+                rows = list(pdf.iloc[at : at + SLICE].itertuples())
+                yield pd.DataFrame({"path": [part_path(p) for p in rows], "content": [part_file(p) for p in rows]})
 
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(*COLUMNS)
     return part.repartition(spark.sparkContext.defaultParallelism).mapInPandas(build, "path string, content binary")

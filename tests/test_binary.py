@@ -348,3 +348,14 @@ def test_unknown_records_stay_raw(spark):
     data = datalog([("PIR", {})]) + b"\x03\x00\xc8\xc9abc"
     rows = fr.record_type_column(fr.stdf_frames(files(spark, ("a", data)))).collect()
     assert [x.record_type for x in rows] == ["FAR", "PIR", "???"] and bytes(rows[2].body) == b"abc"
+
+
+def test_files_are_built_in_slices(spark, tmp_path):
+    from fixtures import datalogs
+
+    rows = [(i, f"name {i}", "Brand#1", "SMALL", i % 50, 900.0 + i) for i in range(2 * datalogs.SLICE + 7)]
+    df = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    df.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    built = {r.path: bytes(r.content) for r in datalogs.datalog_files(spark, str(tmp_path)).collect()}
+    parts = [r for r in df.collect()]
+    assert built == {datalogs.part_path(p): datalogs.part_file(p) for p in parts}
