@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Iterator
 from itertools import chain
 
@@ -25,6 +26,8 @@ VALUES = CHUNKS * WIDTH
 FAR = 33
 # Members compared as one block.
 BLOCK = 256
+# Shingles of the members whose pairs are confirmed together, and number of these pairs.
+HELD, PAIRS = 1 << 21, 1 << 20
 # Characters of text handled together.
 CHARS = 1 << 19
 CACHE = 150_000
@@ -164,25 +167,93 @@ def _differing(a: pd.Series, b: pd.Series) -> pd.Series:
 
 
 def _close(similar: int):
-    """Pairs of two blocks of a bucket that lie in different components, are of fitting size and have close signatures."""
+    """Pairs of two blocks of a bucket that lie in different components, are of fitting size and have close signatures.
+
+    A pair counts in the bucket of its smallest common key only. The pairs of many blocks make one
+    row, with each member once: at most PAIRS pairs, and HELD shingles unless one pair has more.
+    """
 
     def pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        group = _Group()
         for frame in frames:
-            for same, xs, ys in zip(frame["same"], frame["xs"], frame["ys"]):
+            for key, xs, ys, same in zip(frame["key"], frame["xs"], frame["ys"], frame["same"]):
                 v, comp, n, sig = _columns(xs)
                 w, other, m, sig2 = _columns(ys)
+                keys, keys2 = bucket_keys(sig), bucket_keys(sig2)
                 for i in range(len(v)):
                     ok = (other != comp[i]) & (100 * np.minimum(m, n[i]) >= similar * np.maximum(m, n[i]))
                     if same:
                         ok[:i + 1] = False
                     at = np.flatnonzero(ok)
                     at = at[(sig2[at] != sig[i]).sum(1) <= FAR]
-                    if len(at):
-                        yield pd.DataFrame({"a": np.minimum(v[i], w[at]), "b": np.maximum(v[i], w[at])})
+                    at = at[np.where(keys2[at] == keys[i], keys2[at], np.iinfo(np.int64).max).min(1) == key]
+                    for part in np.split(at, np.flatnonzero(np.diff(np.cumsum(m[at]) // HELD)) + 1) if len(at) else ():
+                        if group.full(n[i] + m[part].sum(), len(part)):
+                            yield group.row()
+                            group = _Group()
+                        group.add((v[i], comp[i], n[i]), (w[part], other[part], m[part]))
+        if group.a:
+            yield group.row()
 
     return pairs
 
 
+class _Group:
+    """Pairs that are confirmed together, as places in a list of members."""
+
+    def __init__(self):
+        self.place, self.comps, self.a, self.b, self.pairs, self.held = {}, [], [], [], 0, 0
+
+    def full(self, shingles: int, pairs: int) -> bool:
+        return bool(self.a) and (self.held + shingles > HELD or self.pairs + pairs > PAIRS)
+
+    def _at(self, v: int, comp: int, n: int) -> int:
+        at = self.place.setdefault(v, len(self.comps))
+        if at == len(self.comps):
+            self.comps.append(comp)
+            self.held += n
+        return at
+
+    def add(self, one: tuple, others: tuple) -> None:
+        at = self._at(*map(int, one))
+        found = [self._at(*x) for x in zip(*(c.tolist() for c in others))]
+        self.a.append(np.full(len(found), at, np.uint32))
+        self.b.append(np.array(found, np.uint32))
+        self.pairs += len(found)
+
+    def row(self) -> pd.DataFrame:
+        both = np.stack([np.concatenate(self.a), np.concatenate(self.b)])
+        return pd.DataFrame({"id": [uuid.uuid4().hex], "members": [list(self.place)], "comps": [self.comps], "pairs": [both.tobytes()]})
+
+
+def _links(similar: int):
+    """Links among a group's pairs, by full sets; a pair whose components were joined by a link before is passed over."""
+
+    def links(sets: pd.DataFrame, group: pd.DataFrame) -> pd.DataFrame:
+        found = {v: np.frombuffer(s, np.uint64) for v, s in zip(sets["v"], sets["shingles"])}
+        out = []
+        for members, comps, pairs in zip(group["members"], group["comps"], group["pairs"]):
+            members, comps, top = members.tolist(), comps.tolist(), {}
+
+            def root(c):
+                while c in top:
+                    top[c] = c = top.get(top[c], top[c])
+                return c
+
+            for i, j in np.frombuffer(pairs, np.uint32).reshape(2, -1).T.tolist():
+                one, two = root(comps[i]), root(comps[j])
+                if one == two:
+                    continue
+                x, y = found[members[i]], found[members[j]]
+                shared = len(np.intersect1d(x, y, True))
+                if 100 * shared >= similar * (len(x) + len(y) - shared):
+                    top[one] = two
+                    out.append((members[i], members[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return links
+
+
 def _columns(members) -> tuple[np.ndarray, ...]:
     numbers = [np.array([m[k] for m in members], np.int64) for k in ("v", "comp", "n")]
     return *numbers, np.frombuffer(b"".join(m["sig"] for m in members), np.uint16).reshape(-1, VALUES)
@@ -196,9 +267,10 @@ def near_duplicates(
     Documents are linked where 100 x shared shingles >= ``similar`` x shingles of both together.
     Texts with equal sets become one vertex first. A bucket's members are compared with one
     leader each, and components formed; only then are members of a bucket that still lie in
-    different components compared with each other, in blocks, by signature, and pairs that
-    stay close are confirmed on full sets. So a group of n near copies costs about n
-    comparisons, and no link between components goes untested.
+    different components compared with each other, in blocks, by signature. Pairs that stay
+    close are not made into rows: they travel as places in lists of members, and the members'
+    full sets meet them there. So a group of n near copies costs about n comparisons, texts
+    alike but not linked cost rows by their members, and no link between components goes untested.
 
     Texts that are NULL, empty or without words have no shingles and link with nothing. Rows
     sharing an id count as one document with the links of all its texts; each gives a row.
@@ -241,12 +313,19 @@ def near_duplicates(
     # The leader has met every member already.
     left = members.filter("v != leader").join(mixed, "key").join(sizes, "v")
     block = F.pmod(F.xxhash64("v"), F.ceil(F.col("size") / BLOCK).cast("bigint"))
-    blocks = left.groupBy("key", block.alias("block")).agg(F.collect_list(F.struct("v", "comp", "n", "sig")).alias("xs"))
+    blocks = left.groupBy("leader", "key", block.alias("block")).agg(F.collect_list(F.struct("v", "comp", "n", "sig")).alias("xs"))
     blocks = scratch.keep(blocks, "blocks")
     others = blocks.select("key", F.col("block").alias("other"), F.col("xs").alias("ys"))
-    pairs = blocks.join(others, "key").filter("block <= other").select((F.col("block") == F.col("other")).alias("same"), "xs", "ys")
-    pairs = pairs.mapInPandas(_close(similar), "a long, b long").distinct().join(tried, ["a", "b"], "left_anti")
-    second = _confirmed(rows, vertices, scratch.keep(pairs, "pairs"), similar, scratch)
+    # Buckets with one leader share members, so they go to the same tasks.
+    tasks = 4 * docs.sparkSession.sparkContext.defaultParallelism
+    pairs = blocks.join(others, "key").filter("block <= other").repartitionByRange(tasks, "leader", "key", "block", "other")
+    pairs = pairs.select("key", (F.col("block") == F.col("other")).alias("same"), "xs", "ys")
+    groups = scratch.keep(pairs.mapInPandas(_close(similar), "id string, members array<bigint>, comps array<bigint>, pairs binary"), "groups")
+    members = groups.select(F.col("id").alias("group"), F.explode("members").alias("v"))
+    sets = _sets_of(rows, vertices, members.select("v").distinct(), scratch)
+    left, right = members.join(sets, "v").repartition(tasks, "group").groupBy("group"), groups.repartition(tasks, "id").groupBy("id")
+    second = scratch.keep(left.cogroup(right).applyInPandas(_links(similar), "a long, b long"), "second")
+    scratch.drop(sets)
     name = first.select(F.col("v").alias("x"), "component")
     joined = second.join(name.withColumnsRenamed({"x": "a", "component": "ca"}), "a", "left").join(
         name.withColumnsRenamed({"x": "b", "component": "cb"}), "b", "left"
@@ -262,7 +341,7 @@ def near_duplicates(
     out = described.select(F.when(~F.col("void"), F.col("doc_id")).alias("doc_id"), linked, F.col("n").alias("n_shingles"))
     out = out.join(place, "v", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = scratch.keep(out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))), "result")
-    scratch.drop(described, vertices, buckets, big, tried, first, blocks, merged, place)
+    scratch.drop(described, vertices, buckets, big, tried, first, blocks, groups, second, merged, place)
     return out
 
 
@@ -277,8 +356,7 @@ def _near(pairs: DataFrame, sizes: DataFrame, similar: int) -> DataFrame:
 def _confirmed(rows: DataFrame, vertices: DataFrame, pairs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
     """The pairs that are links on full sets; only the texts of these pairs are cut again."""
     needed = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
-    texts = rows.join(vertices.join(needed, "v", "left_semi").select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    sets = scratch.keep(texts.mapInPandas(_sets, "v long, shingles binary").dropDuplicates(["v"]), "sets")
+    sets = _sets_of(rows, vertices, needed, scratch)
     size = (F.length("shingles") / 8).cast("bigint")
     side = lambda k: sets.select(F.col("v").alias(k), F.col("shingles").alias(f"set_{k}"), size.alias(f"n_{k}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("shared", F.pandas_udf(_shared, "bigint")("set_a", "set_b"))
@@ -286,3 +364,9 @@ def _confirmed(rows: DataFrame, vertices: DataFrame, pairs: DataFrame, similar:
     links = scratch.keep(links, "confirmed")
     scratch.drop(sets)
     return links
+
+
+def _sets_of(rows: DataFrame, vertices: DataFrame, needed: DataFrame, scratch: Scratch) -> DataFrame:
+    """The full sets of some vertices, cut again from their texts."""
+    texts = rows.join(vertices.join(needed, "v", "left_semi").select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+    return scratch.keep(texts.mapInPandas(_sets, "v long, shingles binary").dropDuplicates(["v"]), "sets")

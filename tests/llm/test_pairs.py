@@ -76,6 +76,23 @@ def test_groups_of_near_copies(spark, seed, monkeypatch):
     check(spark, [(int(i), str(t)) for i, t in rows])
 
 
+def test_texts_alike_but_not_linked_make_no_rows_by_pairs(spark, monkeypatch):
+    """400 texts share two thirds of their words: 79,800 pairs to refuse, but no table of so many rows."""
+    rows, keep = {}, Scratch.keep
+
+    def counted(self, df, name):
+        out = keep(self, df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    monkeypatch.setattr(near_dup, "BLOCK", 64)
+    common = " ".join(f"w{i}" for i in range(70))
+    texts = [(i, f"{common} " + " ".join(f"x{i}y{k}" for k in range(18))) for i in range(400)]
+    check(spark, texts + [(400, texts[7][1] + " more"), (401, texts[9][1] + " other")])
+    assert "vertices" in rows and max(rows.values()) < 60 * 402
+
+
 def test_keys_meet_below_the_threshold():
     """Signatures that differ in up to 23 values share a key."""
     rng = np.random.default_rng(3)
