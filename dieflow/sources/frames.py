@@ -50,6 +50,8 @@ _WHOLE = 64 << 20
 # Type and subtype of the frame that holds a file's hash; no record has them.
 HASH = -1
 _BATCH_ROWS = 20_000
+# Small batches held one by one; so many are put together at once, as each costs more than its rows.
+_HELD = 256
 # Faults of a file's format.
 _BROKEN = (OSError, EOFError, zipfile.BadZipFile, zlib.error, ValueError)
 NOT_FAR = "first record is not FAR"
@@ -212,15 +214,22 @@ def frame_batches(batches: Iterator[pa.RecordBatch], wanted: set[int] | None, ha
 
 def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Small batches put together."""
-    held, rows, size = [], 0, 0
+    held, joined, rows, size = [], [], 0, 0
     for batch in batches:
         held.append(batch)
         rows, size = rows + batch.num_rows, size + batch.nbytes
         if rows >= _BATCH_ROWS or size >= _CHUNK:
-            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-            held, rows, size = [], 0, 0
-    if held:
-        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            yield from _joined(joined + held)
+            held, joined, rows, size = [], [], 0, 0
+        elif len(held) == _HELD:
+            joined += _joined(held)
+            held = []
+    if rows:
+        yield from _joined(joined + held)
+
+
+def _joined(batches: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    return pa.Table.from_batches(batches).combine_chunks().to_batches()
 
 
 def _hash_batch(path: str, content: pa.Buffer | None, stream=None) -> pa.RecordBatch:
