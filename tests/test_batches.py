@@ -1,11 +1,13 @@
 """Batches held in Python workers."""
 from __future__ import annotations
 
+import hashlib
 import weakref
 
 import pyarrow as pa
 
 from dieflow.sources import frames
+from dieflow.sources.files import file_manifest, stdf_files
 
 
 def test_small_batches_are_not_held_one_by_one():
@@ -32,3 +34,15 @@ def test_batches_end_at_a_number_of_rows():
     assert [x for b in out for x in b.column("i").to_pylist()] == [i for i in range(10_000) for _ in range(7)]
     assert all(b.num_rows <= frames._BATCH_ROWS + 7 for b in out) and len(out) == 4
     assert not list(frames.merged(iter([])))
+
+
+def test_manifest_reads_contents_once(spark, tmp_path):
+    for i in (1, 2, 3):
+        (tmp_path / f"d{i}.stdf").write_bytes(b"x" * i)
+    found = file_manifest(stdf_files(spark, str(tmp_path)))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    reads = [line for line in plan.splitlines() if "Relation [" in line and "binaryFile" in line]
+    # Files with content, and the large ones by path.
+    assert len(reads) == 2
+    assert sorted(r.length for r in found.collect()) == [1, 2, 3]
+    assert {r.file_hash for r in found.collect()} == {hashlib.md5(b"x" * i).hexdigest() for i in (1, 2, 3)}
