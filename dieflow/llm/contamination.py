@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dieflow.llm.common import FILTER_BITS, Scratch, key_filter, without
+from dieflow.llm.common import FILTER_BITS, Scratch, give_back, key_filter, without
 
 # Template tokens of a window; words of its own that it must hold.
 WINDOW, LITERAL = 8, 5
@@ -128,6 +128,7 @@ def _windows(lengths: list[int], shared=None):
                     if len(text):
                         yield pd.DataFrame({"key": keys[lo + text], "pos": pos, "length": length, "hash": value.view(np.int64), "slots": slots})
                     lo, size = i + 1, 0
+        give_back()
 
     return run
 

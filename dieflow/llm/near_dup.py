@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dieflow.llm.common import Scratch
+from dieflow.llm.common import Scratch, give_back
 from dieflow.llm.components import components
 
 WORDS = 5
@@ -134,6 +134,7 @@ def _describe(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if full:
                 sig[n > 0] = [x.tobytes() for x in signatures(full)]
             yield pd.DataFrame({"doc_id": rows["doc_id"], "void": rows["void"], "v": pd.Series(v, rows.index), "n": n, "sig": sig})
+    give_back()
 
 
 def _fingerprint(s: np.ndarray) -> int:
@@ -146,6 +147,7 @@ def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in _blocks(frame["text"].tolist()):
             sets = [s for s in shingle_sets(frame["text"].iloc[part].tolist()) if len(s)]
             yield pd.DataFrame({"v": np.array([_fingerprint(s) for s in sets], np.int64), "shingles": [s.tobytes() for s in sets]})
+    give_back()
 
 
 def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
