@@ -54,6 +54,14 @@ def class_of(ids: np.ndarray) -> np.ndarray:
     return np.where(ids == 0, 0, np.where(ids <= SIZE, 1 + (ids - 1) // WIDE, ids - SIZE + CLASSES))
 
 
+CLASS_OF = class_of(np.arange(KINDS))
+
+
+def _begun(h: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+    """States with those before a document's start set to zero."""
+    return np.where(fresh[:, None], np.float32(0), h) if fresh.any() else h
+
+
 class Net:
     """Parameters as views into one vector."""
 
@@ -77,47 +85,67 @@ class Net:
         net.word_bias[:] = np.log(counts[1:SIZE + 1].reshape(CLASSES, WIDE) + 0.01)
         return net
 
+    def large(self) -> list[bool]:
+        """``_large`` of the classes' logits and of those inside each class."""
+        return [bool(_large(self.to_class, self.class_bias)), *_large(self.to_word, self.word_bias).tolist()]
+
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
         """Next state, with what going back needs."""
         inner = h @ self.again
-        gates = 0.5 * (1 + np.tanh(0.5 * (x[:, :2 * HIDDEN] + inner[:, :2 * HIDDEN])))
+        gates = x[:, :2 * HIDDEN] + inner[:, :2 * HIDDEN]
+        gates *= 0.5
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
         keep, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-        new = np.tanh(x[:, 2 * HIDDEN:] + reset * inner[:, 2 * HIDDEN:])
-        return new + keep * (h - new), keep, reset, new, inner[:, 2 * HIDDEN:]
+        new = reset * inner[:, 2 * HIDDEN:]
+        new += x[:, 2 * HIDDEN:]
+        np.tanh(new, out=new)
+        following = h - new
+        following *= keep
+        following += new
+        return following, keep, reset, new, inner[:, 2 * HIDDEN:]
 
     def back(self, d: np.ndarray, h: np.ndarray, keep: np.ndarray, reset: np.ndarray, new: np.ndarray, inner: np.ndarray, out: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Gradients for the step's input (into ``out``), for its product with the state, and for the state before."""
-        d_new = d * (1 - keep) * (1 - new * new)
+        left, part = 1 - keep, new * new
+        d_new = d * left
+        np.subtract(1, part, out=part)
+        d_new *= part
         out[:, 2 * HIDDEN:] = d_new
-        out[:, :HIDDEN] = d * (h - new) * keep * (1 - keep)
-        out[:, HIDDEN:2 * HIDDEN] = d_new * inner * reset * (1 - reset)
+        np.subtract(h, new, out=part)
+        part *= d
+        part *= keep
+        np.multiply(part, left, out=out[:, :HIDDEN])
+        np.multiply(d_new, inner, out=part)
+        part *= reset
+        np.multiply(part, 1 - reset, out=out[:, HIDDEN:2 * HIDDEN])
         product = out.copy()
         product[:, 2 * HIDDEN:] *= reset
-        return product, d * keep + product @ self.again.T
-
+        before = product @ self.again.T
+        before += d * keep
+        return product, before
 
-def _spread(logits: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials in place, their sums, and what was taken off the logits first.
 
-    States lie between -1 and 1, so weights and bias bound the logits; nothing is taken off
-    where no exponential can be too large.
-    """
-    top = np.zeros((len(logits), 1), np.float32)
-    if np.abs(weights).sum(0).max() + np.abs(bias).max() > 60:
-        top = logits.max(1, keepdims=True)
-        logits -= top
-    np.exp(logits, out=logits)
-    return logits @ np.ones(logits.shape[1], np.float32), top[:, 0]
+def _large(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Whether an exponential of logits can be too large; states lie between -1 and 1, so weights and bias bound the logits."""
+    return np.abs(weights).sum(-2).max(-1) + np.abs(bias).max(-1) > 60
 
 
-def _softmax(own: np.ndarray, weights: np.ndarray, bias: np.ndarray, right: np.ndarray, n: int, grad: tuple[np.ndarray, np.ndarray] | None):
+def _softmax(own: np.ndarray, weights: np.ndarray, bias: np.ndarray, large: bool, right: np.ndarray, n: int, grad: tuple[np.ndarray, np.ndarray] | None):
     """Log probability of the right column in each row; with ``grad``, adds to weights' and bias' gradients and gives the rows' own."""
     rows = np.arange(len(own))
     logits = own @ weights
     logits += bias
     chosen = logits[rows, right]
-    total, top = _spread(logits, weights, bias)
-    log_p = chosen - np.log(total) - top
+    if large:
+        top = logits.max(1, keepdims=True)
+        logits -= top
+    np.exp(logits, out=logits)
+    total = logits @ np.ones(logits.shape[1], np.float32)
+    log_p = chosen - np.log(total)
+    if large:
+        log_p -= top[:, 0]
     if grad is None:
         return log_p, None
     logits *= (1 / (n * total))[:, None]
@@ -129,14 +157,15 @@ def _softmax(own: np.ndarray, weights: np.ndarray, bias: np.ndarray, right: np.n
 
 def output(net: Net, h: np.ndarray, ids: np.ndarray, grad: Net | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log probability of each id's kind after state h; with ``grad``, adds gradients of the mean loss and gives the states'."""
-    n, kind = len(ids), class_of(ids)
-    log_p, d_h = _softmax(h, net.to_class, net.class_bias, kind, n, grad and (grad.to_class, grad.class_bias))
+    n, kind = len(ids), CLASS_OF[ids]
+    large = net.large()
+    log_p, d_h = _softmax(h, net.to_class, net.class_bias, large[0], kind, n, grad and (grad.to_class, grad.class_bias))
     order = np.argsort(kind.astype(np.uint8), kind="stable")
     edges = np.searchsorted(kind[order], np.arange(1, CLASSES + 2))
     for c in range(CLASSES):
         at = order[edges[c]:edges[c + 1]]
         if len(at):
-            more, d = _softmax(h[at], net.to_word[c], net.word_bias[c], ids[at] - 1 - c * WIDE, n, grad and (grad.to_word[c], grad.word_bias[c]))
+            more, d = _softmax(h[at], net.to_word[c], net.word_bias[c], large[1 + c], ids[at] - 1 - c * WIDE, n, grad and (grad.to_word[c], grad.word_bias[c]))
             log_p[at] += more
             if grad:
                 d_h[at] += d
@@ -153,7 +182,7 @@ def gradients(net: Net, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray,
     grad, kept, states = Net(np.zeros_like(net.values)), [], np.empty((steps, lanes, HIDDEN), h.dtype)
     x = net.into[inputs]
     for t in range(steps):
-        h = np.where(fresh[t][:, None], np.float32(0), h)
+        h = _begun(h, fresh[t])
         following, *inside = net.step(x[t], h)
         kept.append((h, *inside))
         h = states[t] = following
@@ -162,10 +191,10 @@ def gradients(net: Net, inputs: np.ndarray, targets: np.ndarray, h: np.ndarray,
     d, d_in, d_product = np.zeros_like(h), *np.empty((2, steps, lanes, 3 * HIDDEN), h.dtype)
     for t in range(steps - 1, -1, -1):
         d_product[t], d = net.back(d + d_out[t], *kept[t], d_in[t])
-        d = np.where(fresh[t][:, None], np.float32(0), d)
+        d = _begun(d, fresh[t])
     before = np.stack([k[0] for k in kept]).reshape(-1, HIDDEN)
     grad.again[:] = before.T @ d_product.reshape(-1, 3 * HIDDEN)
-    order = np.argsort(inputs.ravel(), kind="stable")
+    order = np.argsort(inputs.ravel().astype(np.uint16), kind="stable")
     sorted_ = inputs.ravel()[order]
     begin = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
     rows = sorted_[begin]
@@ -231,7 +260,7 @@ def score(net: Net, ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
         for row in range(t, min(t + WINDOW, loads[0])):
             n = int(np.searchsorted(-loads, -row, "left"))
             places = place[row, :n]
-            h = net.step(net.into[inputs[places]], np.where(fresh[places][:, None], np.float32(0), h[:n]))[0]
+            h = net.step(net.into[inputs[places]], _begun(h[:n], fresh[places]))[0]
             states.append(h)
             at.append(places)
         at = np.concatenate(at)
@@ -262,17 +291,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield held.row(number)
 
 
+class Numbers(dict):
+    """Words by number; one that is asked for the first time gets the next."""
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Words:
     def __init__(self):
-        self.numbers, self.docs, self.held, self.at, self.size = {END: 0}, [], [], [], 0
+        self.numbers, self.docs, self.held, self.at, self.size = Numbers({END: 0}), [], [], [], 0
 
     def add(self, name: int | None, learn: bool, text: str) -> None:
         words = text.encode().lower().split()
         words.append(END)
-        numbers = self.numbers
-        for w in set(words).difference(numbers):
-            numbers[w] = len(numbers)
-        self.at.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+        self.at.append(np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words)))
         self.docs.append(name)
         self.held.append(not learn)
         self.size += len(text)

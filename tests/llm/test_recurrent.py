@@ -122,3 +122,23 @@ def test_odd_rows(spark):
     checked(keys, nothing, lambda k: False)
     assert all(r.score == r.base_score for r in nothing)
     assert model.recurrent_scores(docs.limit(0), F.lit(True)).collect() == []
+
+
+def test_classes_are_bounded_in_one_pass(monkeypatch):
+    """Logits of all classes are bounded by two calls, whatever the number of classes; large ones are still safe."""
+    net, bounded, calls = small_net(np.float32), model._large, []
+    monkeypatch.setattr(model, "_large", lambda *x: calls.append(x) or bounded(*x))
+    net.to_word[3] *= 400
+    ids = np.arange(model.KINDS)
+    h = np.random.default_rng(2).uniform(-1, 1, (len(ids), model.HIDDEN)).astype(np.float32)
+    log_p, _ = model.output(net, h, ids)
+    assert len(calls) == 2 and np.isfinite(log_p).all()
+    assert net.large() == [False, *(c == 3 for c in range(model.CLASSES))]
+
+
+def test_words_are_numbered_as_they_come():
+    words = model.Words()
+    words.add(1, True, "b a B")
+    words.add(2, True, "c a")
+    assert list(words.numbers) == [b"", b"b", b"a", b"c"]
+    assert [a.tolist() for a in words.at] == [[1, 2, 1, 0], [3, 2, 0]]
