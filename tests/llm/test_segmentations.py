@@ -1,5 +1,6 @@
 """Sampled segmentations: round trip, distinctness, and probabilities against full enumeration."""
 import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -128,6 +129,33 @@ def test_the_given_table(spark):
     assert all(r.exact and r.log_prob <= 1e-6 and r.log_inclusion <= 0 for r in rows)
 
 
+def test_the_query_gives_the_ids_and_what_they_decode_to(spark, lexicon, tmp_path):
+    rows = [(1, "two  words\n\tand 日本 ▁"), (2, ""), (3, None), (1, "two  words\n\tand 日本 ▁")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op10_sampled_segmentations"](spark, str(tmp_path)).collect()
+    texts = {k: (v or "").replace("▁", " ") for k, v in rows}
+    assert sorted((r.doc_id, r.sample) for r in found) == [(1, 1), (1, 1), (1, 2), (1, 2), (2, 1), (3, 1)]
+    for r in found:
+        ids = np.frombuffer(r.ids, "<u4")
+        assert r.text == texts[r.doc_id] == lexicon.decode(ids).decode()
+        assert len(ids) == r.n_tokens and zlib.crc32(bytes(r.ids)) == r.ids_crc32
+
+
+def test_unlikely_segmentations_are_in_reach():
+    """However sharp the distribution: what all other pieces at a place have together is not lost beside 1."""
+    sharp = s.Lexicon(PATH, power=6.0)
+    exact = all_segmentations(sharp, "the")
+    got = s.sample_block(sharp, ["the"], np.array([5], np.uint64), 50)[0]
+    assert min(exact.values()) < 1e-100
+    assert len(got) == len(exact) and {tuple(ids.tolist()) for ids, _, _ in got} == set(exact)
+    # Every first edge beside another one; the last has all others left.
+    lattice = s.Lattice(sharp, ["▁the"])
+    for at in range(4):
+        edges = np.arange(lattice.edges_at[at], lattice.edges_at[at] + lattice.many[at])
+        for e in edges:
+            assert lattice.left[e] == pytest.approx(lattice.p[edges[edges != e]].sum(), rel=1e-12, abs=0)
+
+
 def test_lattice_looks_up_only_what_can_go_on(lexicon, monkeypatch):
     """A unit's first characters are no lookups, nor are nodes that nothing follows; edges are those of plain slices."""
     looked, step = [], s.Lexicon.step
