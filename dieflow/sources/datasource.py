@@ -5,14 +5,19 @@
     CREATE TEMPORARY VIEW ptr USING stdf OPTIONS (path '/data/in', types 'PTR', fields 'TEST_NUM, RESULT')
 
 Planning only lists files. A large file is read in ranges; each finds its own first record (see
-``ranges``), so nothing is scanned beforehand. Small files are read many to a task.
+``ranges``), so nothing is scanned beforehand. Small files are read many to a task; the driver holds
+their listing in columns and tasks name their files packed.
 """
 from __future__ import annotations
 
+import os
+import stat
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import compute as pc
 from pyarrow import fs
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
@@ -31,23 +36,34 @@ _KEYS = [T.StructField("path", T.StringType()), T.StructField("record_pos", T.Lo
 _ERROR = T.StructField("error", T.StringType())
 # Bytes a task reads at most of small files, what opening a file costs in bytes, and tasks that few files are spread over.
 _TASK_BYTES, _OPEN_BYTES, _LEAST_TASKS = 32 << 20, 64 << 10, 64
+# Listed files that are Python objects at a time; all others are in columns.
+_ROWS = 10_000
 
 
 @dataclass
-class Part(InputPartition):
-    """Records that start from ``begin`` to ``end`` of a file; None: all of it."""
+class Part:
+    """Records that start from ``begin`` to ``end`` of a file of ``length`` bytes; None: all of it."""
 
     path: str
-    length: int
+    length: int | None = None
     begin: int = 0
     end: int | None = None
 
 
 @dataclass
 class Task(InputPartition):
-    """Parts that a task reads one after the other."""
+    """A range of a large file, or files of a folder that a task reads one after the other: their names, packed, as the driver holds all tasks."""
 
-    parts: list[Part]
+    part: Part | None = None
+    folder: str = ""
+    names: bytes = b""
+
+    def parts(self) -> Iterator[Part]:
+        if self.part is not None:
+            yield self.part
+            return
+        for name in zlib.decompress(self.names).decode().split("\0"):
+            yield Part(self.folder + name)
 
 
 class StdfSource(DataSource):
@@ -94,30 +110,46 @@ class Records:
         self.fields = {t: [n for n in names if n in schema.names] for t, names in source.fields().items()}
         self.types = sorted(self.fields) or None
 
-    def files(self) -> list[tuple[int, str, int]]:
-        """(time, path, bytes) of the folder's datalog files, or of the one file."""
+    def listed(self) -> tuple[str, Iterator[tuple[int, str, int]]]:
+        """The folder, and (time, name, bytes) of its datalog files one by one, or of the one file."""
         system, base = opened(self.path)
         found = system.get_file_info(base)
-        infos = [found] if found.type == fs.FileType.File else system.get_file_info(fs.FileSelector(base))
         start = self.path[: self.path.index(base.lstrip("/"))] if base.lstrip("/") in self.path else ""
-        kept = [f for f in infos if f.type == fs.FileType.File and f.path.endswith(tuple("." + s for s in SUFFIXES))]
-        return sorted((f.mtime_ns or 0, start + f.path.lstrip("/"), f.size) for f in kept)
-
-    def parts(self, files: list[tuple[int, str, int]]) -> list[Task]:
+        one = found.type == fs.FileType.File
+        folder = os.path.dirname(base) if one else base.rstrip("/")
+        rows = _local(base) if not one and isinstance(system, fs.LocalFileSystem) else _stored([found] if one else system.get_file_info(fs.FileSelector(base)))
+        ends = tuple("." + s for s in SUFFIXES)
+        return start + (f"{folder}/" if folder else "").lstrip("/"), (r for r in rows if r[1].endswith(ends))
+
+    def files(self, after: tuple[int, str] = (-1, ""), upto: tuple[int, str] | None = None) -> tuple[str, pa.Table]:
+        """The folder and its files with a (time, path) after one and up to another, in that order: modified, name, length."""
+        folder, rows = self.listed()
+        batches, held = [], []
+        for row in rows:
+            if after < (at := (row[0], folder + row[1])) and (upto is None or at <= upto):
+                held.append(row)
+            if len(held) == _ROWS:
+                batches.append(_columns(held))
+                held = []
+        table = pa.Table.from_batches([*batches, _columns(held)])
+        return folder, table.take(pc.sort_indices(table, [("modified", "ascending"), ("name", "ascending")]))
+
+    def parts(self, folder: str, files: pa.Table) -> list[Task]:
         """A task for each range of a large file and each packed file that is large; the others go together, in their order."""
         out, group, size = [], [], 0
-        costs = [length + _OPEN_BYTES for _, _, length in files]
-        most = min(_TASK_BYTES, sum(costs) / _LEAST_TASKS)
-        for (_, path, length), cost in zip(files, costs):
-            if length > self.split and not path.endswith((".gz", ".bz2", ".zip")):
-                out += [Task([Part(path, length, at, min(at + self.split, length))]) for at in range(0, length, self.split)]
-                continue
-            if group and size + cost > most:
-                out.append(Task(group))
-                group, size = [], 0
-            group.append(Part(path, length))
-            size += cost
-        return [*out, Task(group)] if group else out
+        most = min(_TASK_BYTES, ((pc.sum(files["length"]).as_py() or 0) + files.num_rows * _OPEN_BYTES) / _LEAST_TASKS)
+        together = lambda names: Task(None, folder, zlib.compress("\0".join(names).encode()))
+        for batch in files.to_batches(_ROWS):
+            for name, length in zip(batch.column("name").to_pylist(), batch.column("length").to_pylist()):
+                if length > self.split and not name.endswith((".gz", ".bz2", ".zip")):
+                    out += [Task(Part(folder + name, length, at, min(at + self.split, length))) for at in range(0, length, self.split)]
+                    continue
+                if group and size + length + _OPEN_BYTES > most:
+                    out.append(together(group))
+                    group, size = [], 0
+                group.append(name)
+                size += length + _OPEN_BYTES
+        return [*out, together(group)] if group else out
 
     def rows(self, task: Task) -> Iterator[pa.RecordBatch]:
         wanted = fr.record_codes(self.types) if self.types else None
@@ -127,7 +159,7 @@ class Records:
         # The decoder's name of the position, and an error whether asked for or not.
         inner = pa.schema([*(f.with_name("record_index") if f.name == "record_pos" else f for f in arrow), *([] if "error" in arrow.names else [pa.field("error", pa.string())])])
         # The frames of small files share a batch.
-        for batch in fr.merged(frames for part in task.parts for frames in _positioned(part, wanted)):
+        for batch in fr.merged(frames for part in task.parts() for frames in _positioned(part, wanted)):
             if "error" not in arrow.names and batch.column("error").null_count < batch.num_rows:
                 broken = batch.filter(batch.column("error").is_valid())
                 raise ValueError(f"{broken.column('path')[0]}: {broken.column('error')[0]}")
@@ -140,6 +172,26 @@ class Records:
                 yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
 
+def _local(base: str) -> Iterator[tuple[int, str, int]]:
+    with os.scandir(base) as entries:
+        for entry in entries:
+            try:
+                found = entry.stat()
+            except FileNotFoundError:  # removed meanwhile, or a link to nothing
+                continue
+            if stat.S_ISREG(found.st_mode):
+                yield found.st_mtime_ns, entry.name, found.st_size
+
+
+def _stored(infos: list[fs.FileInfo]) -> Iterator[tuple[int, str, int]]:
+    return ((f.mtime_ns or 0, f.base_name, f.size) for f in infos if f.type == fs.FileType.File)
+
+
+def _columns(rows: list[tuple[int, str, int]]) -> pa.RecordBatch:
+    modified, name, length = zip(*rows) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays([pa.array(modified, pa.int64()), pa.array(name, pa.string()), pa.array(length, pa.int64())], ["modified", "name", "length"])
+
+
 def _with_type(batch: pa.RecordBatch, names: dict[tuple[int, int], str]) -> pa.RecordBatch:
     kinds = [None if t is None else names.get((t, s), "???") for t, s in zip(batch.column("rec_typ").to_pylist(), batch.column("rec_sub").to_pylist())]
     return batch.append_column("record_type", pa.array(kinds, pa.string()))
@@ -172,7 +224,7 @@ class StdfReader(DataSourceReader):
         self.records = Records(source, schema)
 
     def partitions(self) -> list[Task]:
-        return self.records.parts(self.records.files())
+        return self.records.parts(*self.records.files())
 
     def read(self, partition: Task) -> Iterator[pa.RecordBatch]:
         return self.records.rows(partition)
@@ -188,12 +240,12 @@ class StdfStreamReader(DataSourceStreamReader):
         return {"modified": 0, "path": ""}
 
     def latestOffset(self) -> dict:
-        files = self.records.files()
-        return {"modified": files[-1][0], "path": files[-1][1]} if files else self.initialOffset()
+        folder, rows = self.records.listed()
+        last = max(((modified, name) for modified, name, _ in rows), default=None)
+        return self.initialOffset() if last is None else {"modified": last[0], "path": folder + last[1]}
 
     def partitions(self, start: dict, end: dict) -> list[Task]:
-        after, upto = ((x["modified"], x["path"]) for x in (start, end))
-        return self.records.parts([f for f in self.records.files() if after < f[:2] <= upto])
+        return self.records.parts(*self.records.files(*((x["modified"], x["path"]) for x in (start, end))))
 
     def read(self, partition: Task) -> Iterator[pa.RecordBatch]:
         return self.records.rows(partition)

@@ -1,12 +1,15 @@
 """The data source against the walk and the decoder."""
 import gzip
 import os
+import pickle
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dieflow.sources import decode as d, frames as fr
+from dieflow.sources import datasource as ds, decode as d, frames as fr
 from dieflow.sources.datasource import register
 from dieflow.sources.files import stdf_files
 from fixtures.encode import datalog
@@ -90,3 +93,48 @@ def test_many_small_files_share_tasks(spark, tmp_path):
     (tmp_path / "f7.stdf").write_bytes(b"no datalog")
     with pytest.raises(Exception, match="f7.stdf: first record is not FAR"):
         spark.read.format("stdf").option("types", "PTR").schema("TEST_NUM bigint").load(str(tmp_path)).collect()
+
+
+def test_the_driver_holds_little_of_each_file(tmp_path):
+    """Offsets and tasks of many files: some bytes a file, in the listing and in what is sent to the JVM."""
+    n = 20_000
+    for i in range(n):
+        (tmp_path / f"p{i}.stdf").write_bytes(b"x")
+    source = ds.StdfSource({"path": f"file:{tmp_path}", "types": "PTR"})
+    reader = source.streamReader(source.schema())
+    tracemalloc.start()
+    try:
+        held = pa.total_allocated_bytes()
+        end = reader.latestOffset()
+        assert tracemalloc.get_traced_memory()[1] < 1 << 20
+        tasks = reader.partitions(reader.initialOffset(), end)
+        # The rows that are objects at a time are a fixed number.
+        assert tracemalloc.get_traced_memory()[1] < 200 * n and pa.total_allocated_bytes() - held < 100 * n
+    finally:
+        tracemalloc.stop()
+    assert len(pickle.dumps(tasks)) < 20 * n
+    assert {p.path for t in tasks for p in t.parts()} == {f"file:{tmp_path}/p{i}.stdf" for i in range(n)}
+    assert len(tasks) <= 70 and reader.partitions(end, end) == []
+
+
+def test_files_are_told_apart_by_time_and_path(tmp_path):
+    for name, at in (("b.stdf", 5), ("a.stdf", 5), ("c.stdf.gz", 3), ("none.txt", 9), ("d e%20.STDF", 7)):
+        (tmp_path / name).write_bytes(b"x")
+        os.utime(tmp_path / name, (at, at))
+    (tmp_path / "folder.stdf").mkdir()
+    (tmp_path / "gone.stdf").symlink_to(tmp_path / "nothing")
+    for path, start in ((str(tmp_path), str(tmp_path)), (f"file://{tmp_path}/", f"file://{tmp_path}")):
+        source = ds.StdfSource({"path": path})
+        reader = source.streamReader(source.schema())
+        named = lambda tasks: [p.path for t in tasks for p in t.parts()]
+        assert named(source.reader(source.schema()).partitions()) == [f"{start}/{n}" for n in ("c.stdf.gz", "a.stdf", "b.stdf", "d e%20.STDF")]
+        assert reader.latestOffset() == {"modified": 7 * 10**9, "path": f"{start}/d e%20.STDF"}
+        assert named(reader.partitions({"modified": 5 * 10**9, "path": f"{start}/a.stdf"}, reader.latestOffset())) == [f"{start}/b.stdf", f"{start}/d e%20.STDF"]
+    one = ds.StdfSource({"path": f"file:{tmp_path}/a.stdf"})
+    assert [p.path for t in one.reader(one.schema()).partitions() for p in t.parts()] == [f"file:{tmp_path}/a.stdf"]
+    (tmp_path / "empty").mkdir()
+    empty = ds.StdfSource({"path": f"{tmp_path}/empty"})
+    assert empty.reader(empty.schema()).partitions() == [] and empty.streamReader(empty.schema()).latestOffset() == {"modified": 0, "path": ""}
+    with pytest.raises(FileNotFoundError):
+        gone = ds.StdfSource({"path": f"{tmp_path}/missing"})
+        gone.reader(gone.schema()).partitions()
